@@ -1 +1,341 @@
-"""To be filled."""
+"""Keys, enrichment, matching and reshaping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from querybook.base import Tables, cents, query
+from tidemark.functions import keys
+from tidemark.operators import shaping as s
+
+
+@query(
+    "shape_project_rename",
+    """SELECT DISTINCT upper(trim(substr(p_brand, 7, 2))) AS brand_number, p_type AS kind, CAST(p_size AS BIGINT) AS size
+FROM part WHERE p_retailprice > 950""",
+)
+def shape_project_rename(t: Tables) -> DataFrame:
+    """Column names are matched without regard to case."""
+    return (
+        t.part.where("P_RETAILPRICE > 950")
+        .select(
+            F.upper(F.trim(F.substring("P_Brand", 7, 2))).alias("brand_number"),
+            F.col("P_TYPE").alias("kind"),
+            F.col("p_size").cast("bigint").alias("size"),
+        )
+        .distinct()
+    )
+
+
+@query(
+    "shape_unknown_member",
+    """SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT -1, '-1', -1""",
+)
+def shape_unknown_member(t: Tables) -> DataFrame:
+    return s.with_unknown_member(t.nation)
+
+
+@query(
+    "shape_fill_unknown",
+    """SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(p_partkey, -1) AS p_partkey, COALESCE(p_brand, '-1') AS p_brand
+FROM lineitem LEFT JOIN (SELECT p_partkey, p_brand FROM part WHERE p_size > 25) AS p ON p_partkey = l_partkey""",
+)
+def shape_fill_unknown(t: Tables) -> DataFrame:
+    large = t.part.where("p_size > 25").select("p_partkey", "p_brand")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return s.fill_unknown(lines.join(large, lines["l_partkey"] == large["p_partkey"], "left"))
+
+
+@query(
+    "key_md5",
+    """SELECT c_custkey, CASE WHEN k <> '' THEN md5(k) END AS pk FROM (
+  SELECT c_custkey, concat_ws('|#', NULLIF(trim(lower(c_name)), ''), NULLIF(CAST(c_nationkey AS VARCHAR), ''),
+    NULLIF(trim(lower(CASE WHEN c_acctbal > 0 THEN ' ' || c_mktsegment || ' ' ELSE '  ' END)), '')) AS k FROM customer) AS t""",
+)
+def key_md5(t: Tables) -> DataFrame:
+    padded = F.concat(F.lit(" "), "c_mktsegment", F.lit(" "))
+    part = F.when(F.col("c_acctbal") > 0, padded).otherwise("  ")
+    rows = t.customer.withColumn("segment", part)
+    return rows.select("c_custkey", keys.primary_key("c_name", "c_nationkey", "segment").alias("pk"))
+
+
+@query("key_crc32")
+def key_crc32(t: Tables) -> DataFrame:
+    """crc32 and 64-bit keys; the SQL engine has neither function."""
+    return t.customer.select(
+        "c_custkey",
+        keys.surrogate_key("c_custkey", "c_mktsegment").alias("crc_key"),
+        keys.surrogate_key("c_custkey", "c_mktsegment", wide=True).alias("wide_key"),
+    )
+
+
+# --- hierarchy: suppliers, nations and regions in one self-referring table -----------------
+
+UNITS = """units AS (
+  SELECT 'S' || s_suppkey AS code, s_name AS name, CASE WHEN s_acctbal > 3000 THEN 'N' || s_nationkey END AS group_ref,
+    'N' || s_nationkey AS nation_ref, 'R' || n_regionkey AS region_ref FROM supplier JOIN nation ON n_nationkey = s_nationkey
+  UNION ALL SELECT 'N' || n_nationkey, n_name, NULL, 'N' || n_nationkey, 'R' || n_regionkey FROM nation
+  UNION ALL SELECT 'R' || r_regionkey, r_name, NULL, NULL, NULL FROM region)"""
+
+
+def units(t: Tables) -> DataFrame:
+    def code(letter: str, column: str):
+        return F.concat(F.lit(letter), F.col(column).cast("string"))
+
+    none = F.lit(None).cast("string")
+    nation = code("N", "s_nationkey")
+    suppliers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        code("S", "s_suppkey").alias("code"), F.col("s_name").alias("name"),
+        F.when(F.col("s_acctbal") > 3000, nation).alias("group_ref"),
+        nation.alias("nation_ref"), code("R", "n_regionkey").alias("region_ref"),
+    )
+    nations = t.nation.select(
+        code("N", "n_nationkey").alias("code"), F.col("n_name").alias("name"), none.alias("group_ref"),
+        code("N", "n_nationkey").alias("nation_ref"), code("R", "n_regionkey").alias("region_ref"),
+    )
+    regions = t.region.select(
+        code("R", "r_regionkey").alias("code"), F.col("r_name").alias("name"), none.alias("group_ref"),
+        none.alias("nation_ref"), none.alias("region_ref"),
+    )
+    return suppliers.unionByName(nations).unionByName(regions)
+
+
+@query(
+    "hierarchy_flatten",
+    f"""WITH {UNITS}
+SELECT u.*, COALESCE(u.group_ref, u.code) AS group_code, COALESCE(g.name, u.name) AS group_name,
+  n.code AS nation_code, n.name AS nation_name, r.code AS region_code, r.name AS region_name
+FROM units AS u LEFT JOIN units AS g ON g.code = u.group_ref
+JOIN units AS n ON n.code = u.nation_ref JOIN units AS r ON r.code = u.region_ref""",
+)
+def hierarchy_flatten(t: Tables) -> DataFrame:
+    levels = {"group": "group_ref", "nation": "nation_ref", "region": "region_ref"}
+    return s.flatten_hierarchy(units(t), "code", "name", levels, fallback=["group"])
+
+
+@query(
+    "hierarchy_leaves",
+    f"""WITH {UNITS} SELECT u.code, u.name FROM units AS u
+WHERE NOT EXISTS (SELECT 1 FROM units AS x WHERE x.group_ref = u.code)""",
+)
+def hierarchy_leaves(t: Tables) -> DataFrame:
+    return s.leaf_units(units(t), "code", "group_ref").select("code", "name")
+
+
+# --- JSON -------------------------------------------------------------------------------
+
+
+@query(
+    "json_fields",
+    """SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS weight,
+  CAST(json_extract_string(props, '$."not there"') AS VARCHAR) AS missing FROM events""",
+)
+def json_fields(t: Tables) -> DataFrame:
+    """Field names may contain spaces."""
+    schema = T.StructType(
+        [T.StructField("k", T.LongType()), T.StructField("not there", T.StringType())]
+    )
+    rows = t.events.select("event_id", "event_type", "props")
+    return s.parse_json(rows, "props", schema, {"k": "weight", "not there": "missing"})
+
+
+# --- lookups -----------------------------------------------------------------------------
+
+
+@query(
+    "shape_priority_lookup",
+    """WITH a AS (SELECT n_nationkey AS k, lower(n_name) AS market, 'range a' AS rng FROM nation WHERE n_regionkey < 2),
+b AS (SELECT c_mktsegment AS k, lower(c_mktsegment) AS market, CASE WHEN COUNT(*) % 2 = 0 THEN 'tpe' ELSE 'range b' END AS rng
+      FROM customer WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1),
+c AS (SELECT s_nationkey AS k, 'suppliers ' || COUNT(*) AS market, 'range c' AS rng FROM supplier WHERE s_acctbal > 0 GROUP BY 1)
+SELECT c_custkey, c_nationkey, c_mktsegment,
+  upper(COALESCE(CASE WHEN a.k IS NOT NULL AND b.rng = 'tpe' THEN b.market END, a.market, b.market, c.market, 'retail')) AS market,
+  upper(COALESCE(CASE WHEN a.k IS NOT NULL AND b.rng = 'tpe' THEN b.rng END, a.rng, b.rng, c.rng, 'none')) AS rng
+FROM customer LEFT JOIN a ON a.k = c_nationkey LEFT JOIN b ON b.k = c_mktsegment LEFT JOIN c ON c.k = c_nationkey""",
+)
+def shape_priority_lookup(t: Tables) -> DataFrame:
+    """By nation, else by segment, else by supplier nation, with one override."""
+    by_nation = t.nation.where("n_regionkey < 2").select(
+        F.col("n_nationkey").alias("k"), F.lower("n_name").alias("market"), F.lit("range a").alias("rng")
+    )
+    by_segment = t.customer.where("c_mktsegment <> 'FURNITURE'").groupBy(F.col("c_mktsegment").alias("k")).agg(
+        F.lower(F.first("c_mktsegment")).alias("market"),
+        F.when(F.count("*") % 2 == 0, "tpe").otherwise("range b").alias("rng"),
+    )
+    by_supplier = t.supplier.where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("k")).agg(
+        F.concat(F.lit("suppliers "), F.count("*").cast("string")).alias("market"), F.lit("range c").alias("rng")
+    )
+    maps = {
+        "nation": (by_nation, "c_nationkey", "k"),
+        "segment": (by_segment, "c_mktsegment", "k"),
+        "supplier": (by_supplier, "c_nationkey", "k"),
+    }
+    return s.priority_lookup(
+        t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), maps,
+        {"market": "retail", "rng": "none"},
+        override=("segment", lambda get: get("nation", "market").isNotNull() & (get("segment", "rng") == "tpe")),
+    )
+
+
+@query(
+    "shape_fallback_enrichment",
+    """WITH a AS (SELECT o_custkey AS k, o_orderkey AS number, o_orderpriority AS label FROM orders WHERE o_totalprice > 450000),
+b AS (SELECT s_nationkey AS k, s_suppkey AS number, s_name AS label FROM supplier)
+SELECT c_custkey, a.number, a.label, 1 AS matched_by FROM customer JOIN a ON a.k = c_custkey
+UNION ALL
+SELECT c_custkey, b.number, b.label, CASE WHEN b.k IS NOT NULL THEN 2 END
+FROM customer LEFT JOIN b ON b.k = c_nationkey WHERE c_custkey NOT IN (SELECT k FROM a)""",
+)
+def shape_fallback_enrichment(t: Tables) -> DataFrame:
+    """From the customer's large orders, else from the suppliers of its nation."""
+    orders = t.orders.where("o_totalprice > 450000").select(
+        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("label")
+    )
+    suppliers = t.supplier.select(
+        F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("number"), F.col("s_name").alias("label")
+    )
+    enriched = s.enrich_with_fallback(
+        t.customer.select("c_custkey", "c_nationkey"), orders, suppliers,
+        {"c_custkey": "k"}, {"c_nationkey": "k"}, ["number", "label"],
+    )
+    return enriched.drop("c_nationkey")
+
+
+@query(
+    "shape_unmatched",
+    """SELECT c_custkey, c_nationkey FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)
+  AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_acctbal > 9000)""",
+)
+def shape_unmatched(t: Tables) -> DataFrame:
+    return s.unmatched_rows(
+        t.customer.select("c_custkey", "c_nationkey"),
+        [
+            (t.orders.where("o_totalprice > 300000"), {"c_custkey": "o_custkey"}),
+            (t.supplier.where("s_acctbal > 9000"), {"c_nationkey": "s_nationkey"}),
+        ],
+    )
+
+
+@query(
+    "shape_full_outer_rules",
+    """WITH a AS (SELECT c_custkey AS k, c_mktsegment AS segment FROM customer WHERE c_acctbal > 5000),
+b AS (SELECT DISTINCT o_custkey AS k, TRUE AS related FROM orders WHERE o_totalprice > 400000)
+SELECT COALESCE(a.k, b.k) AS k, segment, CAST(related AS INT) AS related FROM a FULL OUTER JOIN b ON a.k = b.k
+WHERE segment = 'BUILDING' OR (related AND segment IS NULL) OR (related AND segment = 'MACHINERY')""",
+)
+def shape_full_outer_rules(t: Tables) -> DataFrame:
+    contracts = t.customer.where("c_acctbal > 5000").select(
+        F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segment")
+    )
+    relations = t.orders.where("o_totalprice > 400000").select(
+        F.col("o_custkey").alias("k"), F.lit(True).alias("related")
+    ).distinct()
+    segment, related = F.col("segment"), F.col("related")
+    return s.full_outer_rules(
+        contracts, relations, "k",
+        segment == "BUILDING", related & segment.isNull(), related & (segment == "MACHINERY"),
+    )
+
+
+@query(
+    "shape_star",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c_mktsegment AS segment, n_name AS nation, r_name AS region,
+  p_brand AS brand, CAST(l_extendedprice AS DOUBLE) AS price
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
+JOIN (SELECT * FROM part WHERE p_size > 5) AS p ON p_partkey = l_partkey""",
+)
+def shape_star(t: Tables) -> DataFrame:
+    """Line items with five dimensions; nation and region are counted and broadcast."""
+    fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("price"))
+    dims = [
+        s.Dimension(t.orders, {"l_orderkey": "o_orderkey"}, {"custkey": "o_custkey"}, "inner"),
+        s.Dimension(t.customer, {"custkey": "c_custkey"}, {"segment": "c_mktsegment", "nationkey": "c_nationkey"}),
+        s.Dimension(t.nation, {"nationkey": "n_nationkey"}, {"nation": "n_name", "regionkey": "n_regionkey"}, max_rows=1000),
+        s.Dimension(t.region, {"regionkey": "r_regionkey"}, {"region": "r_name"}, max_rows=1000),
+        s.Dimension(t.part.where("p_size > 5"), {"l_partkey": "p_partkey"}, {"brand": "p_brand"}, "inner"),
+    ]
+    return s.star_enrich(fact, dims).drop("custkey", "nationkey", "regionkey")
+
+
+@query(
+    "shape_pivot",
+    """SELECT user_id, """ + ", ".join(
+        f"COUNT(CASE WHEN event_type = '{v}' THEN 1 END) AS {v}_count,"
+        f" strftime(MAX(CASE WHEN event_type = '{v}' THEN ts END), '%Y-%m-%d %H:%M:%S') AS {v}_last"
+        for v in ("click", "purchase", "view")
+    ) + " FROM events GROUP BY user_id",
+)
+def shape_pivot(t: Tables) -> DataFrame:
+    last = F.max(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return s.pivot_counts(
+        t.events, "user_id", "event_type", ["click", "purchase", "view"],
+        {"count": F.count("event_id"), "last": last}, fill=["count"],
+    )
+
+
+@query(
+    "shape_pivot_two_stage",
+    """WITH items AS (SELECT o_custkey, l_partkey, l_returnflag, COUNT(DISTINCT l_suppkey) AS n
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2, 3)
+SELECT o_custkey, """ + ", ".join(
+        f"CAST(COALESCE(SUM(CASE WHEN l_returnflag = '{v}' THEN n END), 0) AS BIGINT) AS {v}_suppliers" for v in "ANR"
+    ) + " FROM items GROUP BY 1",
+)
+def shape_pivot_two_stage(t: Tables) -> DataFrame:
+    """Distinct suppliers per part, then their sum per customer, by flag."""
+    owners = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    per_item = t.lineitem.join(owners, "l_orderkey").groupBy("o_custkey", "l_partkey", "l_returnflag").agg(
+        F.count_distinct("l_suppkey").alias("n")
+    )
+    return s.pivot_counts(
+        per_item, "o_custkey", "l_returnflag", ["A", "N", "R"], {"suppliers": F.sum("n")}, fill=["suppliers"]
+    )
+
+
+@query(
+    "shape_routed_union",
+    """SELECT 'customer' AS route, c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance
+FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL, s_acctbal FROM supplier WHERE s_acctbal < 5000
+UNION ALL SELECT 'part', p_partkey, p_name, p_type, NULL FROM part WHERE p_size = 1""",
+)
+def shape_routed_union(t: Tables) -> DataFrame:
+    customers = t.customer.where("c_acctbal < 0").select(
+        F.lit("customer").alias("route"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    suppliers = t.supplier.where("s_acctbal < 5000").select(
+        F.lit("supplier").alias("route"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("balance"),
+    )
+    parts = t.part.where("p_size = 1").select(
+        F.lit("part").alias("route"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.col("p_type").alias("segment"),
+    )
+    return s.routed_union([customers, suppliers, parts])
+
+
+@query(
+    "shape_route",
+    """SELECT route, COUNT(*) AS n, CAST(SUM(price) AS DOUBLE) AS price FROM (
+  SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+    CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'returned open' WHEN l_returnflag = 'R' THEN 'returned'
+         WHEN l_discount > 0.05 THEN 'discounted' END AS route FROM lineitem) AS t
+WHERE route IS NOT NULL GROUP BY 1""",
+)
+def shape_route(t: Tables) -> DataFrame:
+    """Exclusive routes over one fact, which is read once."""
+    returned = F.col("l_returnflag") == "R"
+    routed = s.route(
+        t.lineitem,
+        {
+            "returned open": returned & (F.col("l_linestatus") == "O"),
+            "returned": returned,
+            "discounted": F.col("l_discount") > 0.05,
+        },
+    )
+    return routed.groupBy("route").agg(F.count("*").alias("n"), F.sum(cents("l_extendedprice")).alias("price"))
