@@ -454,7 +454,7 @@ def flow_monthly_balance_dense(t: Tables) -> DataFrame:
     f"""WITH positions AS (
   SELECT o_custkey, l_partkey AS security, SUM(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_quantity AS DECIMAL(18,2))) AS quantity
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
-quotes AS (SELECT l_partkey AS security, CAST(l_shipdate AS DATE) AS quote_date, MAX(CAST(l_extendedprice / 1000 AS DECIMAL(18,2))) AS price
+quotes AS (SELECT l_partkey AS security, CAST(l_shipdate AS DATE) AS quote_date, MAX(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
   FROM lineitem GROUP BY 1, 2),
 latest AS (SELECT security, CASE WHEN security IN (7, 8) THEN 0 ELSE arg_max(price, quote_date) END AS price FROM quotes GROUP BY 1)
 SELECT o_custkey, security, CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price,
@@ -471,7 +471,7 @@ def position_value(t: Tables) -> DataFrame:
     isin = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("isin")
     quotes = t.lineitem.select(
         isin, F.col("l_shipdate").cast("date").alias("quote_date"),
-        (F.col("l_extendedprice") / 1000).cast("decimal(18,2)").alias("price"),
+        cents("l_extendedprice").alias("price"),
     )
     part_isin = F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("isin")
     securities = t.part.select(F.col("p_partkey").alias("security"), part_isin)

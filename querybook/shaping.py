@@ -61,13 +61,30 @@ def key_md5(t: Tables) -> DataFrame:
     return rows.select("c_custkey", keys.primary_key("c_name", "c_nationkey", "segment").alias("pk"))
 
 
-@query("key_crc32")
+_CRC_STEP = (
+    "list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0],"
+    " lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))"
+)
+
+
+@query(
+    "key_crc32",
+    f"""WITH texts AS (SELECT c_custkey, concat_ws('/', c_custkey, c_mktsegment) AS text FROM customer),
+bytes AS (SELECT c_custkey, list_transform(string_split(text, ''), lambda ch: CAST(ord(ch) AS BIGINT)) AS b FROM texts)
+SELECT c_custkey, xor(list_reduce([CAST(4294967295 AS BIGINT)] || b, lambda crc, byte: {_CRC_STEP}), 4294967295) AS crc_key
+FROM bytes""",
+)
 def key_crc32(t: Tables) -> DataFrame:
-    """crc32 and 64-bit keys; the SQL engine has neither function."""
     return t.customer.select(
-        "c_custkey",
-        keys.surrogate_key("c_custkey", "c_mktsegment").alias("crc_key"),
-        keys.surrogate_key("c_custkey", "c_mktsegment", wide=True).alias("wide_key"),
+        "c_custkey", keys.surrogate_key("c_custkey", "c_mktsegment").alias("crc_key")
+    )
+
+
+@query("key_xxhash64")
+def key_xxhash64(t: Tables) -> DataFrame:
+    """64-bit keys; the SQL engine has no such function."""
+    return t.customer.select(
+        "c_custkey", keys.surrogate_key("c_custkey", "c_mktsegment", wide=True).alias("wide_key")
     )
 
 
