@@ -621,7 +621,7 @@ def plan_activity_score(t: Tables) -> DataFrame:
 @query(
     "plan_equipment_objectives",
     f"""WITH {SEASON}, targets AS (
-  SELECT s_suppkey, CAST(2000 AS INT) AS year, u.product, u.annual FROM supplier, LATERAL (VALUES
+  SELECT s_suppkey, CAST(1995 + s_suppkey % 7 AS INT) AS year, u.product, u.annual FROM supplier, LATERAL (VALUES
     ('cards', CAST(CASE WHEN s_acctbal > 0 THEN s_acctbal END AS DECIMAL(18,2))), ('packs', CAST(s_acctbal * 2 AS DECIMAL(18,2)))) AS u(product, annual)
   WHERE u.annual IS NOT NULL),
 split AS (SELECT targets.*, week, CASE WHEN week <= 26 THEN CASE WHEN week <= 13 THEN 1 ELSE 2 END ELSE CASE WHEN week <= 39 THEN 3 ELSE 4 END END AS quarter,
@@ -632,7 +632,7 @@ SELECT s_suppkey, year, product, week, CAST(quarter AS INT) AS quarter, CAST(wee
 def plan_equipment_objectives(t: Tables) -> DataFrame:
     balance = F.col("s_acctbal")
     wide = t.supplier.select(
-        "s_suppkey", F.lit(2000).alias("year"),
+        "s_suppkey", (F.lit(1995) + F.col("s_suppkey") % 7).cast("int").alias("year"),
         F.when(balance > 0, balance).cast("decimal(18,2)").alias("cards"),
         (balance * 2).cast("decimal(18,2)").alias("packs"),
     )

@@ -26,6 +26,8 @@ def spark_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "20000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

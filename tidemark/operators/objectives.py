@@ -18,6 +18,8 @@ from tidemark.operators.joins import as_list, attach, with_group_totals
 MONTH_LAST_WEEK = (4, 8, 13, 17, 21, 26, 30, 35, 39, 43, 48, 53)
 QUARTER_LAST_WEEK = (13, 26, 39, 53)
 
+SUM = "decimal(38,2)"
+
 
 def band(week: Column, last_weeks: Sequence[int]) -> Column:
     """Number of the band of weeks that the week falls into, from 1."""
@@ -45,12 +47,12 @@ def seasonal_split(
     """Each objective in every week of its year: ``weekly`` and ``cumulative``
     objective, and the sums of the weekly ones over the ``month`` and ``quarter``.
 
-    The year's weeks arrive as one array, so month and quarter sums are array
-    sums inside the row and no exchange of the expanded rows is needed.
+    The year's weeks arrive as one array.  The month and quarter sums are taken
+    from it inside the row, before it is expanded, so the expanded rows need no
+    exchange.
     """
     weeks = season_arrays(season)
     objectives = objectives.withColumnRenamed(year, "year")
-    joined = objectives.join(weeks, "year")
     yearly = F.col(annual)
     split = F.transform(
         "weeks",
@@ -59,19 +61,33 @@ def seasonal_split(
         ),
     )
 
-    def band_sum(field: str) -> Column:
-        same = F.filter("split", lambda w: w[field] == F.col("w")[field])
-        values = F.transform(same, lambda w: w["weekly"].cast("decimal(38,2)"))
-        zero = F.lit(0).cast("decimal(38,2)")
-        return F.aggregate(values, zero, lambda acc, v: (acc + v).cast("decimal(38,2)"))
+    def band_sums(field: str, bands: int) -> Column:
+        """Sum of the weekly objectives of each band, as an array."""
+        zero = F.lit(0).cast(SUM)
 
-    rows = joined.withColumn("split", split).select("*", F.explode("split").alias("w"))
-    return rows.select(
-        *objectives.columns,
-        "w.week", "w.month", "w.quarter", "w.weekly", "w.cumulative",
-        band_sum("month").alias("monthly"),
-        band_sum("quarter").alias("quarterly"),
+        def of_band(number: Column) -> Column:
+            inside = F.filter("split", lambda w: w[field] == number)
+            return F.aggregate(
+                inside, zero, lambda acc, w: (acc + F.coalesce(w["weekly"], zero)).cast(SUM)
+            )
+
+        return F.transform(F.sequence(F.lit(1), F.lit(bands)), of_band)
+
+    joined = objectives.join(weeks, "year").select(*objectives.columns, split.alias("split"))
+    summed = joined.select(
+        "*",
+        band_sums("month", len(MONTH_LAST_WEEK)).alias("by_month"),
+        band_sums("quarter", len(QUARTER_LAST_WEEK)).alias("by_quarter"),
+    )
+    full = F.transform(
+        "split",
+        lambda w: w.withField("monthly", F.get("by_month", w["month"] - 1)).withField(
+            "quarterly", F.get("by_quarter", w["quarter"] - 1)
+        ),
     )
+    rows = summed.select(*objectives.columns, F.explode(full).alias("w"))
+    made = ["week", "month", "quarter", "weekly", "cumulative", "monthly", "quarterly"]
+    return rows.select(*objectives.columns, *[f"w.{name}" for name in made])
 
 
 def unpivot_objectives(

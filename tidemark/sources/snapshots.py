@@ -48,10 +48,13 @@ def _dates(df: DataFrame, col: str, dates: DataFrame | None) -> DataFrame:
 
 
 def _on_dates(df: DataFrame, wanted: Iterable[Date], col: str) -> DataFrame:
+    """Rows of the wanted days.  The enclosing range is added because it can be
+    pushed to the scan of a timestamp column too, unlike the list."""
     wanted = sorted(wanted)
     if not wanted:
         return df.where(F.lit(False))
-    return df.where(p.day_of(col).isin([F.lit(d) for d in wanted]))
+    span = p.within(p.day_of(col), Bounds(wanted[0], wanted[-1]))
+    return df.where(span & p.day_of(col).isin([F.lit(d) for d in wanted]))
 
 
 def _newest(dates: DataFrame, col: str, where: Column | None = None) -> Date | None:

@@ -4,26 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the session.
 
-    A local session that does not name one gets a temporary folder for the rest of
-    the session.  On a cluster that folder would be seen by one machine only, so
+    A local session that does not name one gets a temporary folder for the life of
+    the process.  On a cluster that folder would be seen by one machine only, so
     there the setting is required.
     """
     folder = spark.conf.get(SETTING, None)
-    if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(SETTING, folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder that all executors can reach")
+    return _local_folder()
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:

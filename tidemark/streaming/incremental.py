@@ -56,3 +56,6 @@ def load_new_snapshots(
         .start()
     )
     query.awaitTermination()
+    # the batches ran in a session of their own; drop what this one remembers
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
