@@ -68,8 +68,11 @@ def cents(column: str | Column) -> Column:
 
 
 def literal_rows(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
-    """A small table of constants."""
-    return spark.createDataFrame(rows, schema)
+    """A small table of constants, as a relation whose size Spark knows."""
+    fields = [field.split() for field in schema.split(",")]
+    names = ", ".join(name for name, _ in fields)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {casts} FROM {values_sql(rows)} AS t({names})")
 
 
 def values_sql(rows: list[tuple]) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from querybook.base import REF, Tables, cents, literal_rows, query, values_sql
 from querybook.comparisons import OBSERVED, STATES, observed_state_sql, prev_sql, states
@@ -607,9 +606,7 @@ def plan_activity_score(t: Tables) -> DataFrame:
     ).join(owners, "contract")
     steps = [0.0, 0.5, 1.0, 1.5]
     rules = [(i, x, d, e, int(2 * (i + x + d + e))) for i in (0.0, 1.0) for x in steps for d in (0.0, 0.5) for e in steps]
-    schema = T.StructType(
-        [T.StructField(s, T.DoubleType()) for s in sc.SCORES] + [T.StructField("level", T.IntegerType())]
-    )
+    schema = ", ".join([*(f"{score} double" for score in sc.SCORES), "level int"])
     return sc.activity_score(
         flags, events.join(channels, "o_orderpriority"), events.where("o_orderstatus = 'P'"),
         events.where("o_orderstatus = 'F'").withColumnRenamed("o_orderpriority", "kind"),

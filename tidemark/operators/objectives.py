@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.comparison import difference, ratio
-from tidemark.operators.joins import as_list, attach, with_group_totals
+from tidemark.operators.joins import as_list, attach, small_side, with_group_totals
 
 # Last week of each month and quarter band.
 MONTH_LAST_WEEK = (4, 8, 13, 17, 21, 26, 30, 35, 39, 43, 48, 53)
@@ -73,7 +73,10 @@ def seasonal_split(
 
         return F.transform(F.sequence(F.lit(1), F.lit(bands)), of_band)
 
-    joined = objectives.join(weeks, "year").select(*objectives.columns, split.alias("split"))
+    # one row per calendar year: safe to broadcast
+    joined = objectives.join(F.broadcast(weeks), "year").select(
+        *objectives.columns, split.alias("split")
+    )
     summed = joined.select(
         "*",
         band_sums("month", len(MONTH_LAST_WEEK)).alias("by_month"),
@@ -129,7 +132,7 @@ def week_objective(
     pct = season.select(
         F.col("year").alias("__year"), F.col("week").alias("__week"), "pct_week", "pct_cum"
     )
-    joined = keyed.join(pct, ["__year", "__week"], "left")
+    joined = keyed.join(small_side(pct), ["__year", "__week"], "left")
     return joined.select(
         *objectives.columns,
         *[(F.col(o) * F.col("pct_week")).alias(f"{o}_week") for o in products],
@@ -155,7 +158,8 @@ def attainment(
     remains (the side that is known when the other one is not).
     """
     on = as_list(unit)
-    seasonal = kpi.join(season, ["year", "week"], "left")
+    # all rows of a report share a week or a few: not a key to shuffle on
+    seasonal = kpi.join(small_side(season), ["year", "week"], "left")
     joined = seasonal.join(objectives, [*on, product], "left")
     annual = F.col("annual")
     period, quarter = F.col("pct_cum") * annual, F.col("pct_quarter") * annual

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
+from tidemark.operators.joins import small_side
 
 
 def tenure_months(opened: str, date: DateLike) -> Column:
@@ -70,7 +71,8 @@ def score_lookup(
     """Look up a combination of scores in a rule table.
 
     Both sides are compared as decimals: a float and a double of the same text are
-    not equal in general.
+    not equal in general.  There are few combinations and each has many rows, so
+    the rules are broadcast if counting shows that they are as small as they should.
     """
     kind = f"decimal({scale + 8},{scale})"
     keyed = rules.select(
@@ -80,4 +82,4 @@ def score_lookup(
     match = reduce(
         lambda a, b: a & b, [df[s].cast(kind) == keyed[f"__{s}"] for s in scores]
     )
-    return df.join(keyed, match, "left").drop(*[f"__{s}" for s in scores])
+    return df.join(small_side(keyed), match, "left").drop(*[f"__{s}" for s in scores])

@@ -185,7 +185,8 @@ def priority_lookup(
     """Values from the first of several lookup tables that knows them.
 
     ``maps`` lists, by priority, ``name -> (table, key in df, key in table)`` with
-    one row per key; ``take`` maps a column of the tables to its default.
+    one row per key; small ones are broadcast after counting.  ``take`` maps a
+    column of the tables to its default.
     ``override = (name, rule)`` prefers that table where the rule holds; the rule
     gets a function ``(table name, column) -> Column``.
     """
@@ -195,7 +196,7 @@ def priority_lookup(
             F.col(table_key).alias(f"__{name}_key"),
             *[F.col(c).alias(f"__{name}_{c}") for c in take],
         )
-        out = out.join(side, out[key] == side[f"__{name}_key"], "left")
+        out = out.join(small_side(side), out[key] == side[f"__{name}_key"], "left")
 
     def looked_up(name: str, column: str) -> Column:
         return F.col(f"__{name}_{column}")

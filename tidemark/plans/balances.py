@@ -14,6 +14,7 @@ from tidemark.functions.periods import DateLike
 from tidemark.operators import comparison as c
 from tidemark.operators import flags, money, objectives
 from tidemark.operators.business_days import previous_business_day
+from tidemark.operators.joins import small_side
 
 BALANCE_PERIODS = (
     ("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2),
@@ -46,7 +47,8 @@ def balance_fact(
         home_cols, date, ["account", "currency"], "day", periods=BALANCE_PERIODS,
     )
     today = compared.where(p.day_of("day") == p.date_lit(date))
-    fact = today.join(mapping.select("class", "side").distinct(), "class", "left")
+    sides = small_side(mapping.select("class", "side").distinct())
+    fact = today.join(sides, "class", "left")
     debits = ["debit"] + [col for col in fact.columns if col.endswith("debit_home")]
     pairs = [(d, d.replace("debit", "credit")) for d in debits]
     labelled = money.classify_balances(fact, pairs, "side")

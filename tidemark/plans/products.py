@@ -11,7 +11,7 @@ from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators import flags as f
 from tidemark.operators.comparison import decode_codes
-from tidemark.operators.joins import attach
+from tidemark.operators.joins import attach, small_side
 from tidemark.operators.latest import valid_at
 from tidemark.operators.shaping import Dimension, route, star_enrich
 
@@ -99,6 +99,7 @@ def direct_debits(
 
     ``billing_rules`` maps (kind, operation) to a billing type that overrides the
     table; movements billed as ``unbilled``, or with no billing type, are left out.
+    The code tables are counted, and broadcast if small.
     """
     state = F.col("state")
     in_force = state.isin(*valid_states) | (
@@ -115,10 +116,10 @@ def direct_debits(
     others = non_bank_types.select("kind", F.lit("non-bank").alias("category")).distinct()
     joined = (
         movements.join(marked, ["contract", "external"])
-        .join(current_types, "kind")
-        .join(labels, "state")
-        .join(billed, "kind", "left")
-        .join(others, "kind", "left")
+        .join(small_side(current_types), "kind")
+        .join(small_side(labels), "state")
+        .join(small_side(billed), "kind", "left")
+        .join(small_side(others), "kind", "left")
     )
     chosen = F.col("billing")
     for (kind, operation), value in (billing_rules or {}).items():
