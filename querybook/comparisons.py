@@ -129,7 +129,7 @@ def sides(t: Tables) -> DataFrame:
     return c.daily_totals(t.lineitem, "l_suppkey", "l_shipdate", sums)
 
 
-def _propagation_sql() -> str:
+def _propagation_sql(observed: bool = True) -> str:
     made = []
     for col in ("debit", "credit"):
         for n in (1, 2, 3, 4):
@@ -137,8 +137,9 @@ def _propagation_sql() -> str:
         for unit, n in (("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1),
                         ("year", 2), ("week", 1), ("week", 2)):
             made.append(f"CAST({prev_sql(unit, n, col)} AS DOUBLE) AS {c.past_name(col, unit, n)}")
-        observed = OBSERVED.format(unit="quarter").replace("p_amount", f"p_{col}")
-        made.append(f"CAST({observed} AS DOUBLE) AS last_quarter_{col}")
+        if observed:
+            quarter = OBSERVED.format(unit="quarter").replace("p_amount", f"p_{col}")
+            made.append(f"CAST({quarter} AS DOUBLE) AS last_quarter_{col}")
         made.append(
             f"CAST(last_value(CASE WHEN day = CAST({R} - INTERVAL 12 MONTH AS DATE) THEN {col} END"
             f" IGNORE NULLS) OVER run AS DOUBLE) AS same_day_last_year_{col}"
@@ -161,6 +162,13 @@ def win_balance_propagation(t: Tables) -> DataFrame:
     )
 
 
+@query("win_propagation_as_of", f"SELECT * FROM ({_propagation_sql(observed=False)}) AS t WHERE day = '{REF}'")
+def win_propagation_as_of(t: Tables) -> DataFrame:
+    """The rows of the reference date only, without a window over the history."""
+    periods = [("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2), ("week", 1), ("week", 2)]
+    return c.propagate_as_of(sides(t), ["debit", "credit"], REF, "l_suppkey", "day", periods=periods)
+
+
 def _as_of(unit: str, n: int, col: str = "debit") -> str:
     months = {"month": 1, "quarter": 3, "year": 12}
     moved = f"CAST({R} - INTERVAL {7 * n} DAY AS DATE)" if unit == "week" else (

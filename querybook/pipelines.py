@@ -413,7 +413,7 @@ def plan_balance_fact(t: Tables) -> DataFrame:
     held = t.lineitem.join(owners, "l_orderkey").groupBy(
         F.col("l_suppkey").alias("account"), "currency", F.col("l_shipdate").cast("date").alias("day")
     ).agg(
-        F.when(F.min("l_linestatus") == "O", "VIREMENT").otherwise("BILLET").alias("kind"),
+        F.when(F.max(F.col("l_linestatus") == "F"), "BILLET").otherwise("VIREMENT").alias("kind"),
         (F.min("l_partkey") % 4).alias("class"),
         F.sum(F.when(returned, price)).alias("debit"),
         F.sum(F.when(~returned, price)).alias("credit"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
-from tidemark.operators.joins import as_list
+from tidemark.operators.joins import as_list, attach
 
 
 class Period(NamedTuple):
@@ -263,6 +263,42 @@ def values_as_of(
     return df.where(keep).groupBy(*as_list(keys)).agg(*made)
 
 
+def propagate_as_of(
+    df: DataFrame,
+    cols: str | Sequence[str],
+    date: DateLike,
+    keys: str | Sequence[str],
+    order: str,
+    days: Sequence[int] = (1, 2, 3, 4),
+    periods: Sequence[Period | tuple[str, int]] = (
+        ("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2),
+    ),
+    year_to_year: bool = True,
+) -> DataFrame:
+    """The rows of one date with all their comparison columns: what
+    :func:`propagate_balances` gives for that date.
+
+    The newest rows of a key are ranked, which Spark limits per key before the
+    shuffle, and the period values are aggregated, so the history itself is neither
+    shuffled nor sorted as a whole.
+    """
+    keys, cols = as_list(keys), as_list(cols)
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc(order))
+    upto = df.where(p.day_of(order) <= p.date_lit(date))
+    ranked = upto.select("*", F.row_number().over(newest_first).alias("__rank"))
+    recent = ranked.where(F.col("__rank") <= max(days, default=0) + 1)
+
+    def at(rank: int, column: str) -> Column:
+        return F.max(F.when(F.col("__rank") == rank, F.col(column)))
+
+    today = recent.groupBy(*keys).agg(
+        *[at(1, c).alias(c) for c in df.columns if c not in keys],
+        *[at(n + 1, c).alias(past_name(c, "day", n)) for c in cols for n in days],
+    ).where(p.day_of(order) == p.date_lit(date))
+    past = values_as_of(df, cols, date, periods, keys, order, year_to_year).drop(*cols)
+    return attach(today, past, keys)
+
+
 # --- variations ----------------------------------------------------------------
 
 

@@ -53,9 +53,8 @@ def expected_dates(
     """
     first, last = p.period_start(date, "year"), p.as_date(date)
     day = p.day_of(col)
-    seen = df.where(p.within(day, p.Bounds(first, last))).groupBy().agg(
-        F.array_sort(F.collect_set(day)).alias("seen")
-    )
+    days = df.where(p.within(day, p.Bounds(first, last))).select(day.alias("day")).distinct()
+    seen = days.groupBy().agg(F.array_sort(F.collect_list("day")).alias("seen"))
     spine = seen.select("seen", F.explode(F.sequence(F.lit(first), F.lit(last))).alias(expected))
     upto = F.filter("seen", lambda d: d <= F.col(expected))
     return spine.select(expected, F.try_element_at(upto, F.lit(-1)).alias(actual))

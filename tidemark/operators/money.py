@@ -382,6 +382,16 @@ def monthly_balance_dense(
 # --- positions -------------------------------------------------------------------------
 
 
+def latest_prices(quotes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The price of each key's latest ``quote_date``, the highest if there are several.
+
+    Two hash aggregations: the first spreads a key with many quotes over its days,
+    and neither has to sort, as one with a compound order would.
+    """
+    daily = quotes.groupBy(*keys, "quote_date").agg(F.max("price").alias("price"))
+    return daily.groupBy(*keys).agg(F.max_by("price", "quote_date").alias("price"))
+
+
 def value_positions(
     positions: DataFrame,
     securities: DataFrame,
@@ -400,9 +410,7 @@ def value_positions(
     """
     on = [snapshot] if snapshot else []
     price = F.when(F.col("isin").isin(*priced_at_zero), F.lit(0)).otherwise(F.col("price"))
-    latest = quotes.groupBy("isin", *on).agg(
-        F.max_by("price", F.struct("quote_date", "price")).alias("price")
-    )
+    latest = latest_prices(quotes, ["isin", *on])
     per_security = (
         securities.join(latest, ["isin", *on]).groupBy("security", *on).agg(F.max(price).alias("price"))
     )

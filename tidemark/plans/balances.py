@@ -42,11 +42,9 @@ def balance_fact(
         balances, rates, ["debit", "credit"], home=home, on_date="day", spread_by=["account", "day"]
     )
     home_cols = ["debit_home", "credit_home"]
-    compared = c.propagate_balances(
-        converted.where(p.day_of("day") <= p.date_lit(date)),
-        home_cols, date, ["account", "currency"], "day", periods=BALANCE_PERIODS,
+    today = c.propagate_as_of(
+        converted, home_cols, date, ["account", "currency"], "day", periods=BALANCE_PERIODS
     )
-    today = compared.where(p.day_of("day") == p.date_lit(date))
     sides = small_side(mapping.select("class", "side").distinct())
     fact = today.join(sides, "class", "left")
     debits = ["debit"] + [col for col in fact.columns if col.endswith("debit_home")]
@@ -103,9 +101,7 @@ def position_report(
     quotes; ``securities`` is the same for all days.
     """
     days = quotes.select("day").distinct()
-    per_day = securities.join(quotes, "isin").groupBy("security", "day").agg(
-        F.max_by("price", F.struct("quote_date", "price")).alias("price")
-    )
+    per_day = money.latest_prices(securities.join(quotes, "isin"), ["security", "day"])
     held = positions.join(days, "day", "left_semi").groupBy("account", "security", "day").agg(
         F.sum("quantity").alias("quantity")
     )

@@ -121,43 +121,32 @@ def last_n_days(
 # --- date sets ---------------------------------------------------------------
 
 
-def recent_dates(dates: DataFrame, date: DateLike, count: int, col: str) -> DataFrame:
-    """The ``count`` newest dates that are not after ``date``."""
-    upto = dates.where(F.col(col) <= p.date_lit(date))
-    return upto.orderBy(F.col(col).desc()).limit(count)
-
-
-def period_dates(
+def _find(
     dates: DataFrame,
     date: DateLike,
-    unit: str,
-    n: int,
-    full: bool = False,
-    col: str = SNAPSHOT,
-    week_rule: str = "iso",
-) -> DataFrame:
-    """Dates of the week, month, quarter or year ``n`` units back: the last one,
-    or all of them when ``full``."""
-    found = dates.where(_period_filter(col, date, unit, n, week_rule))
-    return found if full else found.agg(F.max(col).alias(col)).where(F.col(col).isNotNull())
-
-
-def _max_in(dates: DataFrame, ranges: list[Column], col: str) -> set[Date]:
-    """Newest date in each range, found in one aggregation."""
-    if not ranges:
-        return set()
-    picks = [F.max(F.when(r, F.col(col))).alias(f"pick_{i}") for i, r in enumerate(ranges)]
-    return {d for d in dates.agg(*picks).first() if d is not None}
-
-
-def _all_in(dates: DataFrame, ranges: list[Column], col: str) -> set[Date]:
-    """Every date in any of the ranges."""
-    if not ranges:
+    col: str,
+    last_in: list[Column] = (),
+    all_in: list[Column] = (),
+    recent: int = 0,
+) -> set[Date]:
+    """The newest date in each of ``last_in``, every date in any of ``all_in`` and the
+    ``recent`` newest dates not after ``date``.
+
+    One aggregation over the distinct days finds them all, so a table that is not
+    partitioned by day is scanned once, and only its date column.  What reaches the
+    driver is one row.
+    """
+    day = F.col(col)
+    picks = [F.max(F.when(r, day)) for r in last_in]
+    sets = [F.collect_set(F.when(r, day)) for r in all_in]
+    if recent:
+        upto = F.collect_set(F.when(day <= p.date_lit(date), day))
+        sets.append(F.slice(F.sort_array(upto, asc=False), 1, recent))
+    if not picks and not sets:
         return set()
-    anywhere = ranges[0]
-    for r in ranges[1:]:
-        anywhere = anywhere | r
-    return {row[0] for row in dates.where(anywhere).collect()}
+    found = dates.agg(*[c.alias(f"c{i}") for i, c in enumerate([*picks, *sets])]).first()
+    single = {d for d in found[: len(picks)] if d is not None}
+    return single.union(*found[len(picks):])
 
 
 def resolve_dates(
@@ -185,13 +174,11 @@ def resolve_dates(
         if upto is not None
         for n in range(upto + 1)
     ]
-    found = (_all_in if full_period else _max_in)(dates, ranges, col)
-    if days is not None:
-        found |= {r[0] for r in recent_dates(dates, date, days + 1, col).collect()}
     if year_to_year:
-        same_day = F.col(col) == p.date_lit(p.shift_back(date, "year", year_to_year))
-        found |= _all_in(dates, [same_day], col)
-    return sorted(found)
+        ranges.append(F.col(col) == p.date_lit(p.shift_back(date, "year", year_to_year)))
+    kind = "all_in" if full_period else "last_in"
+    recent = 0 if days is None else days + 1
+    return sorted(_find(dates, date, col, recent=recent, **{kind: ranges}))
 
 
 # --- snapshots by date set ---------------------------------------------------
@@ -226,7 +213,7 @@ def period_snapshots(
     inside = _period_filter(col, date, unit, n, week_rule)
     if full:
         return df.where(inside)
-    return _on_dates(df, _max_in(_dates(df, col, dates), [inside], col), col)
+    return _on_dates(df, _find(_dates(df, col, dates), date, col, last_in=[inside]), col)
 
 
 def same_day_years_ago(
@@ -245,7 +232,7 @@ def month_end_snapshot(
 ) -> DataFrame:
     """The last snapshot inside the calendar month ``n`` months back."""
     month = p.within(F.col(col), p.period_bounds(date, "month", n))
-    return _on_dates(df, _max_in(_dates(df, col, dates), [month], col), col)
+    return _on_dates(df, _find(_dates(df, col, dates), date, col, last_in=[month]), col)
 
 
 def history_from(
@@ -285,10 +272,7 @@ def _preset(
     recent: int,
     ranges: list[Column],
 ) -> DataFrame:
-    dates = _dates(df, col, dates)
-    found = _max_in(dates, ranges, col)
-    if recent:
-        found |= {r[0] for r in recent_dates(dates, date, recent, col).collect()}
+    found = _find(_dates(df, col, dates), date, col, last_in=ranges, recent=recent)
     return _on_dates(df, found, col)
 
 
