@@ -6,6 +6,7 @@ from querybook import (  # noqa: F401  (each module registers its queries)
     flags,
     flows,
     lifecycle,
+    more_pipelines,
     objectives,
     pipelines,
     selection,

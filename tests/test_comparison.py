@@ -114,6 +114,17 @@ def test_window_form_equals_aggregation_form(frame, data):
     assert window and all(as_of[k] == values for k, values in window.items())
 
 
+def test_as_of_propagation_equals_the_window_form(frame):
+    periods = [("month", 1), ("month", 2), ("week", 1), ("year", 1)]
+    window = c.propagate_balances(frame, ["x"], REF, "k", "day", periods=periods)
+    window = window.where(F.col("day") == F.lit(REF))
+    as_of = c.propagate_as_of(frame, ["x"], REF, "k", "day", periods=periods)
+    assert sorted(as_of.columns) == sorted(window.columns)
+    ours = sorted((tuple(r) for r in as_of.select(window.columns).collect()), key=repr)
+    assert ours and ours == sorted((tuple(r) for r in window.collect()), key=repr)
+    assert "WindowGroupLimit" in plan_of(as_of)
+
+
 def test_values_as_of_reads_only_the_periods(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     daily = c.daily_totals(orders, "o_custkey", "o_orderdate", {"x": F.col("o_totalprice")})

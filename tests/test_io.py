@@ -33,7 +33,7 @@ def test_overwrite_is_idempotent_and_leaves_other_days(spark, rows, table):
     before = bag(spark.table(name))
     k.write_partition(second, name, D2, location=where)
     assert bag(spark.table(name)) == before == [(1, "x", D1), (2, "y", D1), (3, "z", D2)]
-    k.write_partition(rows("a int, b string", [(9, "n")]), name, "2024-01-01", location=where)
+    k.write_partition(rows("a int, b string", [(9, "n")]), name, "2024-01-01", location=where, even_files=True)
     assert bag(spark.table(name)) == [(3, "z", D2), (9, "n", D1)]
 
 

@@ -93,6 +93,10 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
         spark.conf.set(mode, before)
 
 
+def _even(df: DataFrame, wanted: bool) -> DataFrame:
+    return df.hint("rebalance") if wanted else df
+
+
 def write_partition(
     df: DataFrame,
     table: str,
@@ -100,9 +104,14 @@ def write_partition(
     col: str = SNAPSHOT,
     provider: str = "parquet",
     location: str | None = None,
+    even_files: bool = False,
 ) -> None:
-    """Replace the partition of one day; running it again changes nothing else."""
-    stamped = df.withColumn(col, p.date_lit(date))
+    """Replace the partition of one day; running it again changes nothing else.
+
+    ``even_files`` adds an exchange that merges small and splits large tasks, for a
+    result that comes in many small pieces.
+    """
+    stamped = _even(df, even_files).withColumn(col, p.date_lit(date))
     _prepare(stamped, table, col, provider, location)
     _insert(stamped, table, overwrite=True)
 
@@ -114,9 +123,10 @@ def append_partition(
     col: str = SNAPSHOT,
     provider: str = "parquet",
     location: str | None = None,
+    even_files: bool = False,
 ) -> None:
     """Add rows to the partition of one day, so several producers can fill it."""
-    stamped = df.withColumn(col, p.date_lit(date))
+    stamped = _even(df, even_files).withColumn(col, p.date_lit(date))
     _prepare(stamped, table, col, provider, location)
     _insert(stamped, table, overwrite=False)
 
