@@ -224,12 +224,11 @@ def _filled(alias: str, name: str) -> str:
     return ", ".join(f"COALESCE({alias}.{flag}, 0) AS {flag}" for flag in pr.p.flag_names(name))
 
 
-@query(
-    "plan_product_flags",
-    f"""WITH ships AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_linestatus = 'O'),
-valid AS {_rolled('valid', closed_by('day', REF), 'ships', 'l_orderkey')},
+def _product_flags_sql(rule) -> str:
+    return f"""WITH ships AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_linestatus = 'O'),
+valid AS {_rolled('valid', rule('day', REF), 'ships', 'l_orderkey')},
 finished AS (SELECT o_custkey, {_DAY} AS day FROM orders WHERE o_orderstatus = 'F'),
-withdrawn AS {_rolled('withdrawn', closed_by('day', REF), 'finished', 'o_custkey')},
+withdrawn AS {_rolled('withdrawn', rule('day', REF), 'finished', 'o_custkey')},
 pending AS (SELECT o_custkey, {_DAY} AS day FROM orders WHERE o_orderstatus = 'P'),
 active AS {_rolled('active', rolling('day', REF), 'pending', 'o_custkey')},
 firsts AS (SELECT o_custkey, MIN(day) AS day FROM pending GROUP BY 1),
@@ -237,9 +236,10 @@ activated AS (SELECT o_custkey, {flags_sql('activated', closed_by('day', REF))}
 SELECT o_orderkey AS contract, orders.o_custkey AS card, {flags_sql('subscribed', in_period(_DAY, REF))},
   {_filled('valid', 'valid')}, {_filled('withdrawn', 'withdrawn')}, {_filled('active', 'active')}, {_filled('activated', 'activated')}
 FROM orders LEFT JOIN valid ON l_orderkey = o_orderkey LEFT JOIN withdrawn ON withdrawn.o_custkey = orders.o_custkey
-LEFT JOIN active ON active.o_custkey = orders.o_custkey LEFT JOIN activated ON activated.o_custkey = orders.o_custkey""",
-)
-def plan_product_flags(t: Tables) -> DataFrame:
+LEFT JOIN active ON active.o_custkey = orders.o_custkey LEFT JOIN activated ON activated.o_custkey = orders.o_custkey"""
+
+
+def _product_flags(t: Tables, within_period: bool) -> DataFrame:
     def orders_of(status: str, name: str) -> DataFrame:
         return t.orders.where(F.col("o_orderstatus") == status).select(
             F.col("o_custkey").alias("card"), F.col("o_orderdate").alias(name)
@@ -254,11 +254,23 @@ def plan_product_flags(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("snapshot"),
     )
     flagged = pr.product_flags(
-        contracts, history, orders_of("F", "withdrawn_on"), orders_of("P", "used_at"), REF, ["O"]
+        contracts, history, orders_of("F", "withdrawn_on"), orders_of("P", "used_at"), REF, ["O"],
+        within_period=within_period,
     )
     return flagged.drop("subscribed_on")
 
 
+@query("plan_product_flags", _product_flags_sql(closed_by))
+def plan_product_flags(t: Tables) -> DataFrame:
+    return _product_flags(t, within_period=False)
+
+
+@query("plan_product_flags_within", _product_flags_sql(in_period))
+def plan_product_flags_within(t: Tables) -> DataFrame:
+    """Valid and withdrawn looked at in the period only."""
+    return _product_flags(t, within_period=True)
+
+
 @query(
     "plan_card_transactions",
     """WITH routed AS (

@@ -71,9 +71,10 @@ def prev_period_column(
     known only once the period has passed.
     """
     start, end = p.period_bounds(date, unit, n)
-    inside = p.within(F.col(order), p.Bounds(start, end))
+    day = p.day_of(order)
+    inside = p.within(day, p.Bounds(start, end))
     value = F.max_by(F.when(inside, F.col(by)), F.when(inside, F.col(order)))
-    after = F.col(order) > p.date_lit(end)
+    after = day > p.date_lit(end)
     return F.when(after, value.over(_whole(keys))).alias(past_name(by, unit, n))
 
 
@@ -82,8 +83,8 @@ def same_day_last_year_column(
 ) -> Column:
     """Value on the same day of last year, carried from that day on."""
     day = p.date_lit(p.shift_back(date, "year", 1))
-    value = F.max(F.when(F.col(order) == day, F.col(by))).over(_whole(keys))
-    return F.when(F.col(order) >= day, value).alias(f"same_day_last_year_{by}")
+    value = F.max(F.when(p.day_of(order) == day, F.col(by))).over(_whole(keys))
+    return F.when(p.day_of(order) >= day, value).alias(f"same_day_last_year_{by}")
 
 
 def prev_observed_column(
@@ -100,14 +101,14 @@ def prev_observed_column(
     """
     rows = _ordered(keys, order)
     running = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    period = p.period_of(F.col(order), unit)
+    period = p.period_of(p.day_of(order), unit)
     before = F.lag(period).over(rows)
     closing = F.when(period != before, F.lag(by).over(rows))
     if not exact:
         return F.last(closing, ignorenulls=True).over(running)
     seen = F.when(period != before, F.struct(before.alias("period"), closing.alias("value")))
     latest = F.last(seen, ignorenulls=True).over(running)
-    directly = latest["period"] == p.previous_period_of(F.col(order), unit)
+    directly = latest["period"] == p.previous_period_of(p.day_of(order), unit)
     return F.when(directly, latest["value"])
 
 
@@ -246,7 +247,7 @@ def values_as_of(
     if year_to_year:
         same_day = p.shift_back(date, "year", 1)
         wanted.append(p.Bounds(same_day, same_day))
-    day = F.col(order)
+    day = p.day_of(order)
     keep = F.lit(False)
     for span in wanted:
         keep = keep | p.within(day, span)

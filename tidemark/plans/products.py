@@ -25,6 +25,7 @@ def product_flags(
     uses: DataFrame,
     date: DateLike,
     valid_states: Sequence[str],
+    within_period: bool = False,
 ) -> DataFrame:
     """Five sets of period flags per contract, as 0/1.
 
@@ -32,15 +33,19 @@ def product_flags(
     snapshot)``, ``withdrawals(card, withdrawn_on)``, ``uses(card, used_at)``.
 
     Subscribed in the period; valid in some snapshot up to its close; withdrawn by
-    then; used in the three months before; used for the first time by then.
+    then; used in the three months before; used for the first time by then.  With
+    ``within_period``, valid and withdrawn look at the period itself and not at all
+    the time up to its close.
     """
-    valid = f.rolled_up(
-        history.where(F.col("state").isin(*valid_states)),
-        "contract", f.closed_by_columns(p.day_of("snapshot"), date, "valid"), "valid",
-    )
-    withdrawn = f.rolled_up(
-        withdrawals, "card", f.closed_by_columns(p.day_of("withdrawn_on"), date, "withdrawn"), "withdrawn"
-    )
+
+    def seen(df: DataFrame, key: str, day: str, name: str) -> DataFrame:
+        if within_period:
+            return f.rolled_up(df, key, f.in_period_columns(p.day_of(day), date, name), name)
+        # some date is not after the close exactly when the first one is not
+        return f.first_event_flags(df, key, day, date, name).drop("first_event")
+
+    valid = seen(history.where(F.col("state").isin(*valid_states)), "contract", "snapshot", "valid")
+    withdrawn = seen(withdrawals, "card", "withdrawn_on", "withdrawn")
     used = p.day_of("used_at")
     per_card = uses.groupBy("card").agg(
         F.min(used).alias("first_used"),
