@@ -192,8 +192,10 @@ def test_conversion(rows):
         [(1, "000C", "VIREMENT", 5), (2, "EUR", "VIREMENT", 5), (3, "EUR", "BILLET", 5), (4, "GBP", "BILLET", 5)],
     )
     rates = rows("currency string, mid double, low double, high double", [("EUR", 10.0, 9.0, 13.0)])
-    got = {r.id: r.amount_home for r in m.convert_amounts(frame, rates, ["amount"]).collect()}
-    assert {k: v if v is None else float(v) for k, v in got.items()} == {1: 5.0, 2: 50.0, 3: 55.0, 4: None}
+    for limit in (0, 100):
+        out = m.convert_amounts(frame, rates, ["amount"], max_broadcast=limit)
+        got = {r.id: r.amount_home and float(r.amount_home) for r in out.collect()}
+        assert got == {1: 5.0, 2: 50.0, 3: 55.0, 4: None}
 
 
 def test_sums_since_keep_keys_without_recent_movements(rows):
@@ -403,6 +405,7 @@ def test_home_currency_is_spread(spark, skew_settings, rows):
         "id", F.lit("000C").alias("currency"), F.lit("VIREMENT").alias("kind"), F.lit(0).alias("amount")
     )
     rates = rows("currency string, mid double, low double, high double", [("EUR", 10.0, 9.0, 13.0)])
-    out = m.convert_amounts(frame, rates, ["amount"])
+    assert "xxhash64" not in plan_of(m.convert_amounts(frame, rates, ["amount"]))
+    out = m.convert_amounts(frame, rates, ["amount"], max_broadcast=0)
     sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 20000 / 8 * 1.5

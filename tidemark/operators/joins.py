@@ -66,8 +66,16 @@ def keep_group_extremes(
     return df.join(renamed, match, "left_semi")
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+SMALL = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL) -> bool:
+    """Count whether there are at most ``max_rows`` rows, reading no more than needed."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL) -> DataFrame:
     """Mark a join side for broadcast, but only after counting that it has at most
     ``max_rows`` rows; a larger one is returned without a hint and takes part in an
     ordinary shuffled join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

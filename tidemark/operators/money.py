@@ -11,7 +11,7 @@ from tidemark.functions import money as m
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators.densify import expected_dates, fill_nulls_bidirectional
-from tidemark.operators.joins import as_list
+from tidemark.operators.joins import SMALL, as_list, is_small, small_side
 
 # --- netting and classification --------------------------------------------------
 
@@ -143,21 +143,25 @@ def convert_amounts(
     on_date: str | None = None,
     suffix: str = "_home",
     spread_by: Sequence[str] | None = None,
+    max_broadcast: int = SMALL,
 ) -> DataFrame:
     """Amounts in home currency: wire rows at the mid rate, others at the midpoint
     of the note quotes, home-currency rows as they are.
 
     ``rates`` has ``currency, mid, low, high`` (and ``quote_date`` when
-    ``on_date`` names the amount's date column).  Small rates are broadcast by
-    Spark.  If they are not small: the home currency usually holds most rows and
-    needs no rate, so its join key is replaced by a hash of ``spread_by`` (all
-    columns by default); those rows spread over all tasks instead of meeting in
-    one.
+    ``on_date`` names the amount's date column).  Rates of at most ``max_broadcast``
+    rows, which are counted, are broadcast.  With more of them the join shuffles.
+    The home currency usually holds most rows and needs no rate, so its join key is
+    then replaced by a hash of ``spread_by`` (all columns by default): those rows
+    spread over all tasks instead of meeting in one.
     """
     is_home = F.col(currency) == home
-    hashed = F.xxhash64(*(spread_by or df.columns))
-    spread = F.concat(F.lit("#"), hashed.cast("string"))
-    keyed = df.withColumn("__currency", F.when(is_home, spread).otherwise(F.col(currency)))
+    broadcast = is_small(rates, max_broadcast)
+    key = F.col(currency)
+    if not broadcast:
+        hashed = F.xxhash64(*(spread_by or df.columns))
+        key = F.when(is_home, F.concat(F.lit("#"), hashed.cast("string"))).otherwise(key)
+    keyed = df.withColumn("__currency", key)
     quotes = rates.select(
         F.col("currency").alias("__quoted"),
         *([F.col("quote_date").alias("__quote_date")] if on_date else []),
@@ -172,7 +176,8 @@ def convert_amounts(
         .when(F.col(kind) == wire_kind, F.col("__mid"))
         .otherwise(F.col("__note"))
     )
-    return keyed.join(quotes, match, "left").select(
+    side = F.broadcast(quotes) if broadcast else quotes
+    return keyed.join(side, match, "left").select(
         *df.columns,
         *[(F.col(a) * rate).cast(m.AMOUNT).alias(a + suffix) for a in amounts],
     )
@@ -218,7 +223,9 @@ def _at_rate(flows: DataFrame, rates: DataFrame, home: str) -> DataFrame:
     )
     match = (flows["currency"] == quotes["__currency"]) & (flows["day"] == quotes["__day"])
     rate = F.when(F.col("currency") == home, F.lit(1)).otherwise(F.col("mid")) / F.lit(100)
-    return flows.join(quotes, match, "left").select(*flows.columns, rate.alias("__rate"))
+    return flows.join(small_side(quotes), match, "left").select(
+        *flows.columns, rate.alias("__rate")
+    )
 
 
 def credit_flow(
