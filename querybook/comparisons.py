@@ -54,9 +54,8 @@ OBSERVED = "last_value(CASE WHEN date_trunc('{unit}', day) <> date_trunc('{unit}
 FROM daily WINDOW w AS (PARTITION BY o_custkey ORDER BY day)""",
 )
 def win_lag_snapshots(t: Tables) -> DataFrame:
-    return daily(t).select(
-        "*", *[c.lag_column("amount", n, KEYS, "day") for n in (1, 3)]
-    )
+    one_back = c.lag_value(daily(t), "amount", 1, KEYS, "day")
+    return c.lag_value(one_back, "amount", 3, KEYS, "day")
 
 
 def _register_prev(unit: str, offsets: tuple[int, ...]) -> None:

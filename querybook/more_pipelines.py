@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import REF, Tables, cents, literal_rows, query, values_sql
+from querybook.base import REF, Tables, literal_rows, query, values_sql
 from querybook.flags import active_at, flags_sql, in_period
 from querybook.shaping import _CRC_STEP
 from tidemark.functions import periods as p

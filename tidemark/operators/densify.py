@@ -32,12 +32,6 @@ def fill_nulls_bidirectional(
     return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
-def day_spine(spark, start: DateLike, end: DateLike, name: str = "day") -> DataFrame:
-    """Every day from ``start`` to ``end``."""
-    days = F.sequence(p.date_lit(start), p.date_lit(end))
-    return spark.range(1).select(F.explode(days).alias(name))
-
-
 def expected_dates(
     df: DataFrame,
     date: DateLike,

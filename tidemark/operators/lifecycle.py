@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
-from tidemark.operators.joins import as_list, with_group_totals
+from tidemark.operators.joins import with_group_totals
 
 UNITS = p.UNITS
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators import flags as f
-from tidemark.operators.comparison import decode_codes
 from tidemark.operators.joins import attach, small_side
 from tidemark.operators.latest import valid_at
 from tidemark.operators.shaping import Dimension, route, star_enrich
@@ -137,8 +136,3 @@ def direct_debits(
             "category": F.coalesce("category", F.lit("bank")),
         }
     ).where(F.col("billing") != unbilled)
-
-
-def decoded_status(codes: Column, labels: dict[str, Sequence[str]]) -> Column:
-    """Label of a status code, null for codes that are not listed."""
-    return decode_codes(codes, labels)
