@@ -14,9 +14,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import partitions
@@ -40,17 +41,33 @@ class Blocks:
     def of(self, ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(np.asarray(self.bounds, dtype=np.int64), ids, side="left")
 
+    def column(self, key: str) -> Column:
+        """The block of a column of ids."""
+
+        @F.pandas_udf("int")
+        def block(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for ids in parts:
+                yield pd.Series(self.of(ids.to_numpy(np.int64)).astype(np.int32))
+
+        return block(F.coalesce(F.col(key).cast("long"), F.lit(np.iinfo(np.int64).min)))
+
+
+def id_blocks(rows: DataFrame, key: str, n: int | None = None) -> Blocks:
+    """``n`` blocks of about equal numbers of rows; by default two for each shuffle
+    partition.  Only the bounds come to the driver."""
+    n = n or 2 * partitions(rows.sparkSession)
+    steps = [i / n for i in range(1, n)] or [0.5]
+    ids = F.col(key).cast("long")
+    found = rows.agg(F.percentile_approx(ids, steps, 20 * n).alias("bounds")).first()[0]
+    return Blocks(tuple(sorted(set(found or ()))))
+
 
 def fit_blocks(docs: DataFrame) -> Blocks:
-    """Blocks of about equal numbers of rows: two for each shuffle partition, or more if
-    they would hold over ``BLOCK_BYTES`` of text.  Only bounds come to the driver."""
+    """Blocks of documents: two for each shuffle partition, or more if they would hold over
+    ``BLOCK_BYTES`` of text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(2 * partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
-    steps = [i / n for i in range(1, n)]
-    row = docs.where("doc_id is not null").agg(
-        F.percentile_approx("doc_id", steps, 20 * n).alias("b")
-    ).first()
-    return Blocks(tuple(sorted(set(row[0] or ()))))
+    return id_blocks(docs, "doc_id", n)
 
 
 def _compress(table: pa.Table) -> bytes:

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import Vocabulary, bpe_report
+from tidemark.llm.chat import chat_report
+from tidemark.llm.merkle import fingerprint_report
+from tidemark.llm.sharding import shard_report
 from tidemark.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +27,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents"), shards=16)
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe_report(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings."""
+    turns = table(spark, sf_dir, "conversations")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat_report(turns.select(*more.columns).unionByName(more))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
@@ -46,3 +81,34 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(x.gone), 0)::BIGINT AS
               ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(x.gone, i)), lambda i: w[i]) END, ' '), '')) AS kept_sha256
 FROM words d LEFT JOIN dropped x USING (doc_id)
 """
+
+ORACLES["op7_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked AS (
+  SELECT *, regexp_replace(text, '(<|\[)(\\*)(s>|/s>|<SYS>>|</SYS>>|<ANS>>|</ANS>>|INST\]|/INST\]|ROLE\]|/ROLE\])', '\1\\\2\3', 'g') AS body
+  FROM turns
+), placed AS (
+  SELECT *, row_number() OVER w AS place,
+    lag(role, 1, '<start>') OVER w AS previous, lead(role) OVER w IS NULL AS ends,
+    CASE role WHEN 'user' THEN '<s>[INST] ' || body || ' [/INST]</s>'
+      WHEN 'assistant' THEN '<s><<ANS>> ' || body || ' <</ANS>></s>'
+      WHEN 'system' THEN '<s><<SYS>> ' || body || ' <</SYS>></s>' END AS said
+  FROM marked WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), judged AS (
+  SELECT *, (previous, role) IN (('<start>','system'), ('<start>','user'), ('system','user'), ('user','assistant'),
+    ('assistant','user'), ('assistant','tool'), ('tool','assistant')) AS fits
+  FROM placed
+), chats AS (
+  SELECT conv_id, count(*) AS n,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS said,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(said)) AS chars,
+    coalesce(min(place - 1) FILTER (NOT fits), CASE WHEN bool_or(ends AND role <> 'assistant') THEN count(*) END) AS refused
+  FROM judged GROUP BY conv_id
+)
+SELECT conv_id, n::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+  sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars, refused IS NULL AS accepted, refused::BIGINT AS refused_at
+FROM chats
+"""
