@@ -64,7 +64,7 @@ def compare(spark: SparkSession, con, sf_dir: str, run, sql: str | None) -> tupl
     expected = cursor.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(set(names) ^ set(df.columns))}", len(rows)
-    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
     for name, kind in df.dtypes:
         if kinds.get(types[name]) != kind:
             return f"type of {name}: {kind} / {types[name]}", len(rows)
