@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Vocabulary, bpe_report
 from tidemark.llm.chat import chat_report
+from tidemark.llm.embeddings import linked_vectors
+from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.merkle import fingerprint_report
+from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.mixing import mixed
 from tidemark.llm.sharding import shard_report
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.toxicity import fit_toxicity, toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"), shards=16)
@@ -38,6 +49,19 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_report(table(spark, sf_dir, "documents"), vocabulary)
 
 
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mix of five streams."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixed(docs, corpus_pipeline.WEIGHTS)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(table(spark, sf_dir, "documents"))
@@ -62,6 +86,19 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+
+
 ORACLES["op8_substring_dedup"] = r"""
 WITH words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
