@@ -149,3 +149,38 @@ SELECT conv_id, n::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)
   sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars, refused IS NULL AS accepted, refused::BIGINT AS refused_at
 FROM chats
 """
+
+ORACLES["op1_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM vectors a JOIN vectors b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM vectors UNION SELECT v, other FROM reached JOIN links ON u = vec_id
+), least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, count(u) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN links ON u = vec_id GROUP BY vec_id, component_id
+"""
+
+ORACLES["op9_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT u, v FROM common c JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * c.n >= 85 * (a.n + b.n - c.n)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT v, other FROM reached JOIN links ON u = doc_id
+), least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
