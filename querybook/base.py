@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import workspace
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,6 +19,57 @@ ORACLES: dict[str, str] = {}
 REF = "2001-06-15"
 EVENT_REF = "2024-01-20"
 
+# Codes of the queries on money: the wire kind of amounts, labels of loans and resources.
+WIRE_KIND, CASH_KIND = "VIREMENT", "BILLET"
+LABELS = ("EMPLOI", "RESSOURCE")
+
+# Class of a balance-sheet line by its prefix.
+LINE_CLASSES = {
+    "10": "E.BAM/TRES/CCP",
+    "11": "CAV/EC",
+    "12": "CAV/EF",
+    "21": "CAV",
+    "22": "TRESO",
+    "23": "EQUIPI",
+    "24": "CONS",
+    "25": "IMMO",
+    "27": "DEPOTS DIV",
+    "28": "CRE.DIV",
+    "29": "CRE.SOUF",
+    "31": "TITRES",
+    "50": "R.BAM/TRES/CCP",
+    "51": "DET/EC",
+    "52": "DET/SF",
+    "61": "RAV",
+    "624": "REP",
+    "625": "RAT",
+    "626": "RAT",
+    "627": "REP",
+    "65": "DEP.DIV",
+    "67": "DEP.DIV",
+    "68": "DEP.DIV",
+    "73": "CD",
+    "91": "HB.ENG/EC",
+    "92": "HB.ENG/CLI",
+    "95": "HB.AVAL/EC",
+    "96": "HB.CAUT.AVAL",
+}
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="querybook-")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a query that writes.  A session of one machine that names no shared
+    folder gets one of its own; on a cluster the setting is required."""
+    master = spark.conf.get("spark.master", "")
+    one_machine = master == "local" or master.startswith("local[")
+    if one_machine and spark.conf.get(workspace.SETTING, None) is None:
+        return workspace.unused(_own_folder(), name)
+    return workspace.fresh_folder(spark, name)
+
 
 class Tables:
     """The Parquet tables of one directory: ``Tables(spark, dir).orders``."""

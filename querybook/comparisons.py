@@ -128,7 +128,7 @@ def sides(t: Tables) -> DataFrame:
     return c.daily_totals(t.lineitem, "l_suppkey", "l_shipdate", sums)
 
 
-def _propagation_sql(observed: bool = True) -> str:
+def _propagation_sql() -> str:
     made = []
     for col in ("debit", "credit"):
         for n in (1, 2, 3, 4):
@@ -136,9 +136,8 @@ def _propagation_sql(observed: bool = True) -> str:
         for unit, n in (("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1),
                         ("year", 2), ("week", 1), ("week", 2)):
             made.append(f"CAST({prev_sql(unit, n, col)} AS DOUBLE) AS {c.past_name(col, unit, n)}")
-        if observed:
-            quarter = OBSERVED.format(unit="quarter").replace("p_amount", f"p_{col}")
-            made.append(f"CAST({quarter} AS DOUBLE) AS last_quarter_{col}")
+        quarter = OBSERVED.format(unit="quarter").replace("p_amount", f"p_{col}")
+        made.append(f"CAST({quarter} AS DOUBLE) AS last_quarter_{col}")
         made.append(
             f"CAST(last_value(CASE WHEN day = CAST({R} - INTERVAL 12 MONTH AS DATE) THEN {col} END"
             f" IGNORE NULLS) OVER run AS DOUBLE) AS same_day_last_year_{col}"
@@ -161,11 +160,13 @@ def win_balance_propagation(t: Tables) -> DataFrame:
     )
 
 
-@query("win_propagation_as_of", f"SELECT * FROM ({_propagation_sql(observed=False)}) AS t WHERE day = '{REF}'")
+@query("win_propagation_as_of", f"SELECT * FROM ({_propagation_sql()}) AS t WHERE day = '{REF}'")
 def win_propagation_as_of(t: Tables) -> DataFrame:
     """The rows of the reference date only, without a window over the history."""
     periods = [("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2), ("week", 1), ("week", 2)]
-    return c.propagate_as_of(sides(t), ["debit", "credit"], REF, "l_suppkey", "day", periods=periods)
+    return c.propagate_as_of(
+        sides(t), ["debit", "credit"], REF, "l_suppkey", "day", periods=periods, observed=["quarter"]
+    )
 
 
 def _as_of(unit: str, n: int, col: str = "debit") -> str:
@@ -316,28 +317,26 @@ def state_prev_decoded(t: Tables) -> DataFrame:
 
 @query(
     "fill_both_directions",
-    """WITH spine AS (
-  SELECT user_id, CAST(g.d AS DATE) AS day FROM (SELECT DISTINCT user_id FROM events) AS t,
-         generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) AS g(d)),
-vals AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, MAX(CAST(value AS DECIMAL(18,2))) AS spent
-  FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+    """WITH daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, MAX(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS spent
+  FROM events GROUP BY 1, 2),
+spine AS (SELECT user_id, CAST(unnest(generate_series(MIN(day), MAX(day), INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY 1)
 SELECT spine.user_id, CAST(spine.day AS VARCHAR) AS day,
   CAST(COALESCE(
     first_value(spent IGNORE NULLS) OVER (PARTITION BY spine.user_id ORDER BY spine.day
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
     last_value(spent IGNORE NULLS) OVER (PARTITION BY spine.user_id ORDER BY spine.day
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS DOUBLE) AS spent
-FROM spine LEFT JOIN vals ON vals.user_id = spine.user_id AND vals.day = spine.day""",
+FROM spine LEFT JOIN daily ON daily.user_id = spine.user_id AND daily.day = spine.day""",
 )
 def fill_both_directions(t: Tables) -> DataFrame:
-    """Each user's largest purchase per day, with the gaps between them filled."""
-    days = F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-30").cast("date"))
-    spine = t.events.select("user_id").distinct().select("user_id", F.explode(days).alias("day"))
-    known = t.events.where("event_type = 'purchase'").groupBy(
-        "user_id", F.col("ts").cast("date").alias("day")
-    ).agg(F.max(cents("value")).alias("spent"))
-    gaps = spine.join(known, ["user_id", "day"], "left")
+    """Each user's largest purchase per day from its first to its last event, with the gaps
+    between purchases filled."""
+    purchase = F.when(F.col("event_type") == "purchase", cents("value"))
+    daily = t.events.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(F.max(purchase).alias("spent"))
+    spine = daily.groupBy("user_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    spine = spine.select("user_id", F.explode(F.sequence("first", "last")).alias("day"))
+    gaps = spine.join(daily, ["user_id", "day"], "left")
     return d.fill_nulls_bidirectional(gaps, ["spent"], "user_id", "day")
 
 
@@ -346,11 +345,11 @@ def fill_both_directions(t: Tables) -> DataFrame:
     f"""WITH days AS (SELECT CAST(g.d AS DATE) AS day
   FROM generate_series(DATE '2001-01-01', {R}, INTERVAL 1 DAY) AS g(d)),
 seen AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders
-         WHERE o_totalprice > 450000 AND CAST(o_orderdate AS DATE) BETWEEN DATE '2001-01-01' AND {R})
+         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-01-01' AND {R})
 SELECT CAST(days.day AS VARCHAR) AS expected_date,
        CAST(last_value(seen.day IGNORE NULLS) OVER (ORDER BY days.day
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS VARCHAR) AS actual_date
 FROM days LEFT JOIN seen ON seen.day = days.day""",
 )
 def fill_expected_dates(t: Tables) -> DataFrame:
-    return d.expected_dates(t.orders.where("o_totalprice > 450000"), REF, "o_orderdate")
+    return d.expected_dates(t.orders, REF, "o_orderdate")

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import REF, Tables, cents, literal_rows, query, values_sql
-from tidemark.functions import money as fm
+from querybook.base import CASH_KIND, LABELS, LINE_CLASSES, REF, WIRE_KIND, Tables, cents, literal_rows, query, values_sql
 from tidemark.operators import money as m
 from tidemark.operators import comparison as c
 
@@ -68,12 +67,12 @@ def money_classify_balances(t: Tables) -> DataFrame:
     doubled = balances(t).withColumns(
         {"debit_home": F.col("debit") * 2, "credit_home": F.col("credit") * 2}
     )
-    return m.classify_balances(doubled, [("debit", "credit"), ("debit_home", "credit_home")], "side")
+    return m.classify_balances(doubled, [("debit", "credit"), ("debit_home", "credit_home")], "side", LABELS)
 
 
 _CLASS_CASE = "CASE " + " ".join(
-    f"WHEN starts_with(line, '{prefix}') THEN '{fm.LINE_CLASSES[prefix]}'"
-    for prefix in sorted(fm.LINE_CLASSES, key=lambda p: -len(p))
+    f"WHEN starts_with(line, '{prefix}') THEN '{LINE_CLASSES[prefix]}'"
+    for prefix in sorted(LINE_CLASSES, key=lambda p: -len(p))
 ) + " ELSE 'AUTRES' END"
 
 
@@ -92,7 +91,9 @@ def money_prefix_classes(t: Tables) -> DataFrame:
         F.col("l_partkey").cast("string").alias("credit_line"),
         F.when(F.col("l_returnflag") != "N", F.col("l_orderkey").cast("string")).alias("debit_line"),
     )
-    return m.classify_prefix(coded, ["l_suppkey"], "credit_line", "debit_line")
+    return m.classify_prefix(
+        coded, ["l_suppkey"], "credit_line", "debit_line", LINE_CLASSES, "AUTRES", ("RESS", "EMP")
+    )
 
 
 # --- rates: quotes per priority ("currency") and day, taken from the orders ---------------
@@ -210,6 +211,7 @@ def money_tagged_rates(t: Tables) -> DataFrame:
     return m.tagged_rates(
         wire(t).select(*quotes, F.col("mid").alias("rate")),
         cash(t).select(*quotes, F.col("sell").alias("rate")),
+        (WIRE_KIND, CASH_KIND),
     )
 
 
@@ -282,7 +284,7 @@ def money_convert(t: Tables) -> DataFrame:
     from tidemark.operators.latest import latest_by
 
     latest = latest_by(rates(t), "currency", "quote_date")
-    out = m.convert_amounts(lines(t), latest, ["amount"], home="1-URGENT", spread_by=["l_orderkey"])
+    out = m.convert_amounts(lines(t), latest, ["amount"], home="1-URGENT", wire_kind=WIRE_KIND, spread_by=["l_orderkey"])
     return out.drop("o_custkey", "day", "side")
 
 
@@ -294,7 +296,7 @@ def money_convert(t: Tables) -> DataFrame:
 def money_convert_by_day(t: Tables) -> DataFrame:
     """At the rates of the day; unknown where there is no quote."""
     out = m.convert_amounts(
-        lines(t), rates(t), ["amount"], home="1-URGENT", on_date="day", spread_by=["l_orderkey"]
+        lines(t), rates(t), ["amount"], home="1-URGENT", wire_kind=WIRE_KIND, on_date="day", spread_by=["l_orderkey"]
     )
     return out.drop("o_custkey", "day", "side")
 
@@ -321,7 +323,7 @@ def money_convert_filled(t: Tables) -> DataFrame:
     """At the rates of the day, days without a quote taking the next known one."""
     daily = m.fill_rates(rates(t), "1995-01-01", "2001-12-31")
     out = m.convert_amounts(
-        lines(t), daily, ["amount"], home="1-URGENT", on_date="day", spread_by=["l_orderkey"]
+        lines(t), daily, ["amount"], home="1-URGENT", wire_kind=WIRE_KIND, on_date="day", spread_by=["l_orderkey"]
     )
     return out.drop("o_custkey", "day", "side")
 

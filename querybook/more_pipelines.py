@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import REF, Tables, literal_rows, query, values_sql
+from querybook.base import REF, Tables, cents, literal_rows, query, values_sql
 from querybook.flags import active_at, flags_sql, in_period
 from querybook.shaping import _CRC_STEP
 from tidemark.functions import periods as p
 from tidemark.operators.comparison import past_name
 from tidemark.plans import accounts as a
 from tidemark.plans import holdings as h
+from tidemark.plans.credits import loan_commitments
+from tidemark.plans.dimensions import contract_graph, segment_dimension
 
 R = f"DATE '{REF}'"
+SEGMENT_DATE = "1998-01-03"
 
 
 def _rolled(name: str, predicate, source: str, key: str) -> str:
@@ -149,12 +152,12 @@ def _crc(text: str) -> str:
     f"""WITH cur(currency, code, dfval) AS ({values_sql(CURRENCIES)}),
 latest AS (SELECT o_custkey AS account, o_orderstatus AS portfolio, o_orderpriority AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus, o_orderpriority) AS rn
-  FROM orders WHERE o_totalprice > 400000) AS x WHERE rn = 1),
+  FROM orders) AS x WHERE rn = 1),
 disputed AS (SELECT account, {_crc("portfolio || '/' || place")} AS dispute_key FROM latest),
 owned AS (SELECT s_suppkey AS customer, {_crc("CAST(s_nationkey AS VARCHAR) || '/' || s_name")} AS customer_key FROM supplier),
 accounts AS (SELECT c_custkey AS account, CASE WHEN c_acctbal > 5000 THEN '1-URGENT' WHEN c_acctbal > 2000 THEN '2-HIGH' ELSE '4-NOT SPECIFIED' END AS currency,
   CAST(c_nationkey AS BIGINT) AS element FROM customer),
-holders AS (SELECT CAST(s_nationkey AS BIGINT) AS element, MIN(s_suppkey) AS customer FROM supplier WHERE s_acctbal > 0 GROUP BY 1),
+holders AS (SELECT CAST(s_nationkey AS BIGINT) AS element, MIN(s_suppkey) AS customer FROM supplier GROUP BY 1),
 known AS (
   SELECT accounts.account, cur.code, customer, element, dispute_key, COALESCE(dispute_key, customer_key) AS portfolio_key, 'origin' AS kind
   FROM accounts LEFT JOIN disputed USING (account) LEFT JOIN holders USING (element) LEFT JOIN owned USING (customer)
@@ -174,10 +177,10 @@ def plan_account_dimension(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("account"), currency.alias("currency"),
         F.col("c_nationkey").cast("bigint").alias("element"),
     )
-    holders = t.supplier.where("s_acctbal > 0").groupBy(F.col("s_nationkey").cast("bigint").alias("element")).agg(
+    holders = t.supplier.groupBy(F.col("s_nationkey").cast("bigint").alias("element")).agg(
         F.min("s_suppkey").alias("customer")
     )
-    disputes = t.orders.where("o_totalprice > 400000").select(
+    disputes = t.orders.select(
         F.col("o_custkey").alias("account"), F.col("o_orderstatus").alias("portfolio"),
         F.col("o_orderpriority").alias("place"), F.col("o_orderdate").alias("modified"),
     )
@@ -232,3 +235,101 @@ def plan_digital_usage(t: Tables) -> DataFrame:
         {"consultation": ["1", "3"], "transaction": ["4", "5", "6"]}, ["signup"], always=["purchase"],
     )
     return usage.withColumn("last_event", F.date_format("last_event", "yyyy-MM-dd HH:mm:ss"))
+
+
+# --- loans, segments, contracts ---------------------------------------------------------
+
+
+@query(
+    "plan_loan_commitments",
+    """WITH steps AS (
+  SELECT l_orderkey AS file, l_linenumber AS step, CAST(l_extendedprice AS DECIMAL(18,2)) AS disbursed FROM lineitem),
+current AS (SELECT * FROM (SELECT *, max(step) OVER (PARTITION BY file) AS newest FROM steps) AS s WHERE step = newest),
+figures AS (SELECT l_orderkey AS file, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total, COUNT(*) AS n FROM lineitem GROUP BY 1),
+files AS (SELECT o_orderkey AS file, o_custkey AS account, CASE WHEN n = 1 THEN total ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS nominal
+  FROM orders JOIN figures ON file = o_orderkey)
+SELECT files.file, account, CAST(nominal AS DOUBLE) AS nominal, step, CAST(disbursed AS DOUBLE) AS disbursed,
+  CAST(total AS DOUBLE) AS total, o_orderstatus AS status,
+  CASE WHEN disbursed <> nominal THEN 'PARTIAL' ELSE 'TOTAL' END AS disbursement
+FROM files JOIN current USING (file) JOIN figures USING (file) JOIN orders ON o_orderkey = files.file""",
+)
+def plan_loan_commitments(t: Tables) -> DataFrame:
+    """Orders as loan files, their lines as the steps of the schedule."""
+    steps = t.lineitem.select(
+        F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("step"), cents("l_extendedprice").alias("disbursed")
+    )
+    figures = steps.groupBy("file").agg(F.sum("disbursed").alias("total"), F.count("*").alias("n"))
+    launched = t.orders.select(
+        F.col("o_orderkey").alias("file"), F.col("o_custkey").alias("account"), cents("o_totalprice").alias("price")
+    )
+    nominal = F.when(F.col("n") == 1, F.col("total")).otherwise(F.col("price")).alias("nominal")
+    files = launched.join(figures, "file").select("file", "account", nominal)
+    states = t.orders.select(F.col("o_orderkey").alias("file"), F.col("o_orderstatus").alias("status"))
+    parts = [(figures, {"total": "total"}), (states, {"status": "status"})]
+    return loan_commitments(files, steps, parts, ("PARTIAL", "TOTAL"))
+
+
+@query(
+    "plan_segment_dimension",
+    f"""WITH segments AS (SELECT c_mktsegment AS segment, lower(c_mktsegment) AS label FROM customer GROUP BY 1
+  HAVING CAST(DATE '1998-01-01' + INTERVAL (COUNT(*)) DAY AS DATE) > DATE '{SEGMENT_DATE}'),
+subs AS (SELECT CAST(n_nationkey AS VARCHAR) AS sub_segment, n_name AS sub_label FROM nation
+  WHERE DATE '1998-01-01' + INTERVAL (n_nationkey) DAY > DATE '{SEGMENT_DATE}'),
+used AS (SELECT DISTINCT c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS sub_segment, r_name AS product_line
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
+SELECT segment, sub_segment, product_line, label, sub_label FROM used JOIN segments USING (segment) JOIN subs USING (sub_segment)
+WHERE product_line <> 'AFRICA'
+UNION ALL SELECT '-1', '-1', '-1', '-1', '-1'""",
+)
+def plan_segment_dimension(t: Tables) -> DataFrame:
+    """Market segments of the customers, by nation."""
+    start = F.lit("1998-01-01").cast("date")
+    segments = t.customer.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.lower(F.first("c_mktsegment")).alias("label"), F.date_add(start, F.count("*").cast("int")).alias("dfval")
+    )
+    subs = t.nation.select(
+        F.col("n_nationkey").cast("string").alias("sub_segment"), F.col("n_name").alias("sub_label"),
+        F.date_add(start, F.col("n_nationkey").cast("int")).alias("dfval"),
+    )
+    regions = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    members = t.customer.join(regions, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("sub_segment"),
+        F.col("r_name").alias("product_line"),
+    )
+    return segment_dimension(members, segments, subs, SEGMENT_DATE, ["AFRICA"]).drop("segment_key")
+
+
+@query(
+    "plan_contract_graph",
+    """WITH edges AS (
+  SELECT DISTINCT l_orderkey AS account, l_partkey AS element FROM lineitem WHERE l_linenumber = 1
+  UNION SELECT a.l_orderkey, l.ps FROM (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1) AS a
+    JOIN (SELECT DISTINCT l_partkey AS p, l_suppkey AS ps FROM lineitem) AS l ON l.p = a.l_partkey),
+contracts AS (SELECT p_size AS contract, MIN(p_type) AS contract_type FROM part GROUP BY 1)
+SELECT account, element, contract, p_brand AS product, contract_type, holder
+FROM edges JOIN part ON p_partkey = element JOIN contracts ON contract = p_size
+LEFT JOIN (SELECT c_nationkey, MIN(c_custkey) AS holder FROM customer GROUP BY 1) AS h ON c_nationkey = contract
+WHERE p_brand IN (SELECT p_brand FROM part GROUP BY 1 HAVING COUNT(*) % 2 = 0)
+  AND contract_type IN (SELECT p_type FROM part GROUP BY 1 HAVING COUNT(*) % 2 = 0)""",
+)
+def plan_contract_graph(t: Tables) -> DataFrame:
+    """Orders as accounts, parts as elements, part sizes as contracts, customers as holders."""
+    accounts = t.lineitem.where("l_linenumber = 1").select(
+        F.col("l_orderkey").alias("account"), F.col("l_partkey").alias("element")
+    )
+    links = t.lineitem.select(F.col("l_partkey").alias("element"), F.col("l_suppkey").alias("linked")).distinct()
+    elements = t.part.select(
+        F.col("p_partkey").alias("element"), F.col("p_size").alias("contract"), F.col("p_brand").alias("product")
+    )
+    contracts = t.part.groupBy(F.col("p_size").alias("contract")).agg(F.min("p_type").alias("contract_type"))
+    since, until = F.lit("2000-01-01").cast("date"), F.lit("2002-01-01").cast("date")
+    kinds = t.part.groupBy(F.col("p_type").alias("contract_type")).agg(
+        F.when(F.count("*") % 2 == 0, until).otherwise(since).alias("dfval")
+    )
+    products = t.part.groupBy(F.col("p_brand").alias("product")).agg(
+        F.when(F.count("*") % 2 == 0, until).otherwise(since).alias("dfval")
+    )
+    holders = t.customer.groupBy(F.col("c_nationkey").alias("contract")).agg(F.min("c_custkey").alias("holder"))
+    return contract_graph(
+        accounts, links, elements, contracts, holders.withColumn("main", F.lit(True)), kinds, products, REF
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import REF, Tables, cents, literal_rows, query, values_sql
+from querybook.base import LABELS, REF, WIRE_KIND, Tables, cents, literal_rows, query, values_sql
 from querybook.comparisons import OBSERVED, STATES, observed_state_sql, prev_sql, states
 from querybook.flags import HOLIDAYS, closed_by, flags_sql, in_period, months_between_sql, rolling
 from querybook.flows import LINES, RATES, lines, rates
@@ -382,12 +382,14 @@ def _fact_sql() -> str:
     past = {}
     for side in ("debit_home", "credit_home"):
         for n in (1, 2, 3, 4):
-            past[past_name(side, "day", n)] = f"lag({side}, {n}) OVER w"
+            nth = f"(SELECT day FROM (SELECT DISTINCT day FROM balances WHERE day < {R}) ORDER BY day DESC LIMIT 1 OFFSET {n - 1})"
+            past[past_name(side, "day", n)] = f"max(CASE WHEN day = {nth} THEN {side} END)"
         for unit, n in _FACT_PERIODS:
-            past[past_name(side, unit, n)] = prev_sql(unit, n, side)
-        past[f"same_day_last_year_{side}"] = (
-            f"last_value(CASE WHEN day = DATE '2000-06-15' THEN {side} END IGNORE NULLS) OVER run"
-        )
+            months = n * {"month": 1, "year": 12}[unit]
+            inside = f"date_trunc('{unit}', day) = date_trunc('{unit}', CAST({R} - INTERVAL {months} MONTH AS DATE))"
+            close = f"(SELECT max(day) FROM balances WHERE {inside})"
+            past[past_name(side, unit, n)] = f"max(CASE WHEN day = {close} THEN {side} END)"
+        past[f"same_day_last_year_{side}"] = f"max(CASE WHEN day = DATE '2000-06-15' THEN {side} END)"
     compared = ", ".join(f"{sql} AS {name}" for name, sql in past.items())
     debits = ["debit", "debit_home"] + [n for n in past if n.endswith("debit_home")]
     netted = []
@@ -406,10 +408,8 @@ def _fact_sql() -> str:
 converted AS (
   SELECT b.*, {_rate('debit')}, {_rate('credit')} FROM balances AS b
   LEFT JOIN rates ON rates.currency = b.currency AND rates.quote_date = b.day),
-lagged AS (SELECT *, lag(day) OVER w AS p_day, lag(debit_home) OVER w AS p_debit_home, lag(credit_home) OVER w AS p_credit_home
-  FROM converted WHERE day <= {R} WINDOW w AS (PARTITION BY account, currency ORDER BY day)),
-compared AS (SELECT *, {compared} FROM lagged WINDOW w AS (PARTITION BY account, currency ORDER BY day),
-  run AS (PARTITION BY account, currency ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+compared AS (SELECT account, currency, {", ".join(f"max(CASE WHEN day = {R} THEN {c} END) AS {c}" for c in ("day", "kind", "class", "debit", "credit", "debit_home", "credit_home"))},
+  {compared} FROM converted GROUP BY account, currency HAVING bool_or(day = {R})),
 netted AS (SELECT account, currency, kind, CAST(compared.class AS BIGINT) AS class, side, day, {", ".join(netted)}
   FROM compared LEFT JOIN sides ON sides.class = compared.class WHERE day = {R}),
 split AS (
@@ -431,7 +431,7 @@ def plan_balance_fact(t: Tables) -> DataFrame:
         F.sum(F.when(~returned, price)).alias("credit"),
     )
     mapping = literal_rows(t.spark, "class bigint, side string", SIDES)
-    return b.balance_fact(held, rates(t), mapping, REF, home="1-URGENT")
+    return b.balance_fact(held, rates(t), mapping, REF, home="1-URGENT", wire_kind=WIRE_KIND, labels=LABELS)
 
 
 _DAILY = """daily AS (
@@ -545,7 +545,7 @@ owed AS (SELECT account, family, paid_on AS business_day, SUM(amount) AS owed FR
 SELECT loan, account, family, source, CAST(paid_on AS VARCHAR) AS paid_on, CAST(amount AS DOUBLE) AS amount,
   CAST(business_day AS VARCHAR) AS business_day, CAST(owed AS DOUBLE) AS owed, CAST(amount - COALESCE(owed, 0) AS DOUBLE) AS net_amount,
   {flags_sql('production', in_period('paid_on', REF))}, concat_ws('', loan, source) AS loan_key
-FROM paid JOIN found USING (paid_on) LEFT JOIN owed USING (account, family, business_day)""",
+FROM paid LEFT JOIN found USING (paid_on) LEFT JOIN owed USING (account, family, business_day)""",
 )
 def plan_loan_production(t: Tables) -> DataFrame:
     paid = t.orders.select(
@@ -666,7 +666,7 @@ FROM s JOIN n USING (o_custkey, month) WHERE COALESCE(debit, 0) <> 0 OR COALESCE
 def plan_monthly_report(t: Tables) -> DataFrame:
     """Converted balances per customer, class and month."""
     home = m.convert_amounts(
-        lines(t), rates(t), ["amount"], home="1-URGENT", on_date="day", spread_by=["l_orderkey"]
+        lines(t), rates(t), ["amount"], home="1-URGENT", wire_kind=WIRE_KIND, on_date="day", spread_by=["l_orderkey"]
     ).select(
         "o_custkey", (F.col("l_partkey") % 10).alias("class"), "day",
         F.when(F.col("side") == "D", F.col("amount_home")).alias("debit"),

@@ -39,13 +39,14 @@ def shape_unknown_member(t: Tables) -> DataFrame:
 
 @query(
     "shape_fill_unknown",
-    """SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(p_partkey, -1) AS p_partkey, COALESCE(p_brand, '-1') AS p_brand
-FROM lineitem LEFT JOIN (SELECT p_partkey, p_brand FROM part WHERE p_size > 25) AS p ON p_partkey = l_partkey""",
+    """SELECT c_custkey, c_mktsegment, COALESCE(user_id, -1) AS user_id, COALESCE(last_type, '-1') AS last_type
+FROM customer LEFT JOIN (SELECT user_id, MAX(event_type) AS last_type FROM events GROUP BY 1) AS u ON user_id = c_custkey""",
 )
 def shape_fill_unknown(t: Tables) -> DataFrame:
-    large = t.part.where("p_size > 25").select("p_partkey", "p_brand")
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    return s.fill_unknown(lines.join(large, lines["l_partkey"] == large["p_partkey"], "left"))
+    """Customers and their events, which most customers do not have."""
+    users = t.events.groupBy("user_id").agg(F.max("event_type").alias("last_type"))
+    customers = t.customer.select("c_custkey", "c_mktsegment")
+    return s.fill_unknown(customers.join(users, customers["c_custkey"] == users["user_id"], "left"))
 
 
 @query(
@@ -80,11 +81,18 @@ def key_crc32(t: Tables) -> DataFrame:
     )
 
 
-@query("key_xxhash64")
+@query(
+    "key_xxhash64",
+    """SELECT c_mktsegment, COUNT(*) AS n_rows, COUNT(DISTINCT c_custkey) AS n_keys, 0::BIGINT AS n_nulls
+FROM customer GROUP BY 1""",
+)
 def key_xxhash64(t: Tables) -> DataFrame:
-    """64-bit keys; the SQL engine has no such function."""
-    return t.customer.select(
-        "c_custkey", keys.surrogate_key("c_custkey", "c_mktsegment", wide=True).alias("wide_key")
+    """64-bit keys per segment: as many as there are customers, none of them null."""
+    wide = keys.surrogate_key("c_custkey", "c_mktsegment", wide=True)
+    return t.customer.withColumn("wide_key", wide).groupBy("c_mktsegment").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("wide_key").alias("n_keys"),
+        F.count_if(F.col("wide_key").isNull()).alias("n_nulls"),
     )
 
 
@@ -163,42 +171,42 @@ def json_fields(t: Tables) -> DataFrame:
 
 @query(
     "shape_priority_lookup",
-    """WITH a AS (SELECT n_nationkey AS k, lower(n_name) AS market, 'range a' AS rng FROM nation WHERE n_regionkey < 2),
-b AS (SELECT c_mktsegment AS k, lower(c_mktsegment) AS market, CASE WHEN COUNT(*) % 2 = 0 THEN 'tpe' ELSE 'range b' END AS rng
-      FROM customer WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1),
-c AS (SELECT s_nationkey AS k, 'suppliers ' || COUNT(*) AS market, 'range c' AS rng FROM supplier WHERE s_acctbal > 0 GROUP BY 1)
+    """WITH a AS (SELECT user_id AS k, lower(MAX(event_type)) AS market, 'range a' AS rng FROM events GROUP BY 1),
+b AS (SELECT s_suppkey AS k, lower(s_name) AS market, CASE WHEN s_nationkey % 2 = 0 THEN 'tpe' ELSE 'range b' END AS rng FROM supplier),
+c AS (SELECT c_mktsegment AS k, 'customers ' || COUNT(*) AS market, 'range c' AS rng FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1)
 SELECT c_custkey, c_nationkey, c_mktsegment,
   upper(COALESCE(CASE WHEN a.k IS NOT NULL AND b.rng = 'tpe' THEN b.market END, a.market, b.market, c.market, 'retail')) AS market,
   upper(COALESCE(CASE WHEN a.k IS NOT NULL AND b.rng = 'tpe' THEN b.rng END, a.rng, b.rng, c.rng, 'none')) AS rng
-FROM customer LEFT JOIN a ON a.k = c_nationkey LEFT JOIN b ON b.k = c_mktsegment LEFT JOIN c ON c.k = c_nationkey""",
+FROM customer LEFT JOIN a ON a.k = c_custkey LEFT JOIN b ON b.k = c_custkey LEFT JOIN c ON c.k = c_mktsegment""",
 )
 def shape_priority_lookup(t: Tables) -> DataFrame:
-    """By nation, else by segment, else by supplier nation, with one override."""
-    by_nation = t.nation.where("n_regionkey < 2").select(
-        F.col("n_nationkey").alias("k"), F.lower("n_name").alias("market"), F.lit("range a").alias("rng")
+    """By the customer's events, else the supplier of its number, else its segment, with
+    one override."""
+    by_events = t.events.groupBy(F.col("user_id").alias("k")).agg(
+        F.lower(F.max("event_type")).alias("market"), F.lit("range a").alias("rng")
     )
-    by_segment = t.customer.where("c_mktsegment <> 'FURNITURE'").groupBy(F.col("c_mktsegment").alias("k")).agg(
-        F.lower(F.first("c_mktsegment")).alias("market"),
-        F.when(F.count("*") % 2 == 0, "tpe").otherwise("range b").alias("rng"),
+    by_supplier = t.supplier.select(
+        F.col("s_suppkey").alias("k"), F.lower("s_name").alias("market"),
+        F.when(F.col("s_nationkey") % 2 == 0, "tpe").otherwise("range b").alias("rng"),
     )
-    by_supplier = t.supplier.where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("k")).agg(
-        F.concat(F.lit("suppliers "), F.count("*").cast("string")).alias("market"), F.lit("range c").alias("rng")
+    by_segment = t.customer.groupBy(F.col("c_mktsegment").alias("k")).agg(
+        F.concat(F.lit("customers "), F.count("*").cast("string")).alias("market"), F.lit("range c").alias("rng")
     )
     maps = {
-        "nation": (by_nation, "c_nationkey", "k"),
+        "events": (by_events, "c_custkey", "k"),
+        "supplier": (by_supplier, "c_custkey", "k"),
         "segment": (by_segment, "c_mktsegment", "k"),
-        "supplier": (by_supplier, "c_nationkey", "k"),
     }
     return s.priority_lookup(
         t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), maps,
         {"market": "retail", "rng": "none"},
-        override=("segment", lambda get: get("nation", "market").isNotNull() & (get("segment", "rng") == "tpe")),
+        override=("supplier", lambda get: get("events", "market").isNotNull() & (get("supplier", "rng") == "tpe")),
     )
 
 
 @query(
     "shape_fallback_enrichment",
-    """WITH a AS (SELECT o_custkey AS k, o_orderkey AS number, o_orderpriority AS label FROM orders WHERE o_totalprice > 450000),
+    """WITH a AS (SELECT user_id AS k, event_id AS number, event_type AS label FROM events),
 b AS (SELECT s_nationkey AS k, s_suppkey AS number, s_name AS label FROM supplier)
 SELECT c_custkey, a.number, a.label, 1 AS matched_by FROM customer JOIN a ON a.k = c_custkey
 UNION ALL
@@ -206,15 +214,15 @@ SELECT c_custkey, b.number, b.label, CASE WHEN b.k IS NOT NULL THEN 2 END
 FROM customer LEFT JOIN b ON b.k = c_nationkey WHERE c_custkey NOT IN (SELECT k FROM a)""",
 )
 def shape_fallback_enrichment(t: Tables) -> DataFrame:
-    """From the customer's large orders, else from the suppliers of its nation."""
-    orders = t.orders.where("o_totalprice > 450000").select(
-        F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("label")
+    """From the customer's events, else from the suppliers of its nation."""
+    events = t.events.select(
+        F.col("user_id").alias("k"), F.col("event_id").alias("number"), F.col("event_type").alias("label")
     )
     suppliers = t.supplier.select(
         F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("number"), F.col("s_name").alias("label")
     )
     enriched = s.enrich_with_fallback(
-        t.customer.select("c_custkey", "c_nationkey"), orders, suppliers,
+        t.customer.select("c_custkey", "c_nationkey"), events, suppliers,
         {"c_custkey": "k"}, {"c_nationkey": "k"}, ["number", "label"],
     )
     return enriched.drop("c_nationkey")
@@ -223,33 +231,34 @@ def shape_fallback_enrichment(t: Tables) -> DataFrame:
 @query(
     "shape_unmatched",
     """SELECT c_custkey, c_nationkey FROM customer
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)
-  AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_acctbal > 9000)""",
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)
+  AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)""",
 )
 def shape_unmatched(t: Tables) -> DataFrame:
+    """Customers without events whose number is no supplier's."""
     return s.unmatched_rows(
         t.customer.select("c_custkey", "c_nationkey"),
-        [
-            (t.orders.where("o_totalprice > 300000"), {"c_custkey": "o_custkey"}),
-            (t.supplier.where("s_acctbal > 9000"), {"c_nationkey": "s_nationkey"}),
-        ],
+        [(t.events, {"c_custkey": "user_id"}), (t.supplier, {"c_custkey": "s_suppkey"})],
     )
 
 
 @query(
     "shape_full_outer_rules",
-    """WITH a AS (SELECT c_custkey AS k, c_mktsegment AS segment FROM customer WHERE c_acctbal > 5000),
-b AS (SELECT DISTINCT o_custkey AS k, TRUE AS related FROM orders WHERE o_totalprice > 400000)
+    """WITH a AS (SELECT s_suppkey AS k, CASE s_nationkey % 3 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' ELSE 'OTHER' END AS segment FROM supplier),
+b AS (SELECT user_id AS k, bool_or(event_type = 'error') AS related FROM events GROUP BY 1)
 SELECT COALESCE(a.k, b.k) AS k, segment, CAST(related AS INT) AS related FROM a FULL OUTER JOIN b ON a.k = b.k
 WHERE segment = 'BUILDING' OR (related AND segment IS NULL) OR (related AND segment = 'MACHINERY')""",
 )
 def shape_full_outer_rules(t: Tables) -> DataFrame:
-    contracts = t.customer.where("c_acctbal > 5000").select(
-        F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segment")
+    """Suppliers by segment against users and whether they met an error."""
+    third = F.col("s_nationkey") % 3
+    contracts = t.supplier.select(
+        F.col("s_suppkey").alias("k"),
+        F.when(third == 0, "BUILDING").when(third == 1, "MACHINERY").otherwise("OTHER").alias("segment"),
+    )
+    relations = t.events.groupBy(F.col("user_id").alias("k")).agg(
+        F.bool_or(F.col("event_type") == "error").alias("related")
     )
-    relations = t.orders.where("o_totalprice > 400000").select(
-        F.col("o_custkey").alias("k"), F.lit(True).alias("related")
-    ).distinct()
     segment, related = F.col("segment"), F.col("related")
     return s.full_outer_rules(
         contracts, relations, "k",
@@ -263,17 +272,17 @@ def shape_full_outer_rules(t: Tables) -> DataFrame:
   p_brand AS brand, CAST(l_extendedprice AS DOUBLE) AS price
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
 LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
-JOIN (SELECT * FROM part WHERE p_size > 5) AS p ON p_partkey = l_partkey""",
+JOIN part ON p_partkey = l_partkey""",
 )
 def shape_star(t: Tables) -> DataFrame:
-    """Line items with five dimensions; nation and region are counted and broadcast."""
+    """Line items with five dimensions; nation follows from customer, region from nation."""
     fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("price"))
     dims = [
         s.Dimension(t.orders, {"l_orderkey": "o_orderkey"}, {"custkey": "o_custkey"}, "inner"),
         s.Dimension(t.customer, {"custkey": "c_custkey"}, {"segment": "c_mktsegment", "nationkey": "c_nationkey"}),
-        s.Dimension(t.nation, {"nationkey": "n_nationkey"}, {"nation": "n_name", "regionkey": "n_regionkey"}, max_rows=1000),
-        s.Dimension(t.region, {"regionkey": "r_regionkey"}, {"region": "r_name"}, max_rows=1000),
-        s.Dimension(t.part.where("p_size > 5"), {"l_partkey": "p_partkey"}, {"brand": "p_brand"}, "inner"),
+        s.Dimension(t.nation, {"nationkey": "n_nationkey"}, {"nation": "n_name", "regionkey": "n_regionkey"}),
+        s.Dimension(t.region, {"regionkey": "r_regionkey"}, {"region": "r_name"}),
+        s.Dimension(t.part, {"l_partkey": "p_partkey"}, {"brand": "p_brand"}, "inner"),
     ]
     return s.star_enrich(fact, dims).drop("custkey", "nationkey", "regionkey")
 

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import Tables, query
+from querybook.base import Tables, fresh_folder, query
 from tidemark.sinks import tables as k
 from tidemark.sources import text as x
-from tidemark.sources.workspace import fresh_folder
 from tidemark.streaming.incremental import load_new_snapshots
 
 DAY = "CAST(CAST(date_trunc('year', o_orderdate) AS DATE) AS VARCHAR)"

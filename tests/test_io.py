@@ -2,6 +2,7 @@
 
 import uuid
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.sinks import tables as k
 from tidemark.sources import text as x
 from tidemark.sources.workspace import fresh_folder
+from tidemark.streaming import incremental
 from tidemark.streaming.incremental import load_new_snapshots
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -126,8 +128,51 @@ def test_stream_replaces_whole_days_however_often(spark, rows, table, tmp_path):
     assert bag(spark.table(name)) == [(1, D1), (2, D1), (3, D1), (4, D2)]
 
 
+def test_stream_loads_rows_without_a_day_and_writes_each_day_once(spark, rows, table, tmp_path, monkeypatch):
+    name, where = table
+    source = str(tmp_path / "in")
+    frame = rows("a int, partitiondate date", [(i, d) for i in range(4) for d in (D1, D2, None)])
+    for i in range(4):  # four files of each day
+        k.append_parquet(frame.where(F.col("a") == i), source)
+    writes, backfill = [], incremental.backfill
+    monkeypatch.setattr(incremental, "backfill", lambda *a, **o: (writes.append(a[0].count()), backfill(*a, **o)))
+    load_new_snapshots(spark, source, frame.schema, name, checkpoint=str(tmp_path / "cp"), location=where, max_files=1)
+    assert writes == [12]
+    assert bag(spark.table(name)) == bag(frame)
+    load_new_snapshots(spark, source, frame.schema, name, checkpoint=str(tmp_path / "cp"), location=where, max_files=1)
+    assert writes == [12]
+
+
+def test_stream_takes_up_days_that_a_failed_run_noted(spark, rows, table, tmp_path, monkeypatch):
+    name, where = table
+    source, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    frame = rows("a int, partitiondate date", [(1, D1)])
+    k.append_parquet(frame, source)
+
+    def fails(*_, **__):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, "backfill", fails)
+    with pytest.raises(RuntimeError):
+        load_new_snapshots(spark, source, frame.schema, name, checkpoint=cp, location=where)
+    monkeypatch.undo()
+    load_new_snapshots(spark, source, frame.schema, name, checkpoint=cp, location=where)
+    assert bag(spark.table(name)) == [(1, D1)]
+
+
+def test_an_empty_result_leaves_the_day_without_rows(spark, rows, table):
+    name, where = table
+    frame = rows("a int", [(1,), (2,)])
+    k.write_partition(frame, name, D1, location=where)
+    k.write_partition(frame, name, D2, location=where)
+    k.write_partition(frame.where("a > 5"), name, D1, location=where)
+    assert bag(spark.table(name)) == [(1, D2), (2, D2)]
+
+
 def test_folders_are_in_the_shared_one(spark):
-    a, b = fresh_folder(spark, "x"), fresh_folder(spark, "x")
-    assert a != b
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared is None or a.startswith(shared.rstrip("/"))
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(ValueError):
+            fresh_folder(spark, "x")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/"))
+    a, b = fresh_folder(session, "x"), fresh_folder(session, "x")
+    assert a != b and a.startswith("/shared/x-")

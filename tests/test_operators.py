@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from querybook.base import LINE_CLASSES
 from tests.conftest import final_plan_of, plan_of
-from tidemark.functions import keys, money as fm, periods as p
+from tidemark.functions import keys, periods as p
 from tidemark.operators import business_days, densify, flags, joins, latest, lifecycle
 from tidemark.operators import money as m
 from tidemark.operators import objectives as o
@@ -95,10 +96,16 @@ def test_recency_is_false_when_unknown(rows):
 
 def test_previous_business_day(rows):
     # 2024-03-18 is a Monday; the Friday before and the Thursday are holidays
-    frame = rows("id int, d date", [(1, date(2024, 3, 18)), (2, date(2024, 3, 20)), (3, date(2024, 3, 18))])
+    frame = rows("id int, d date", [(1, date(2024, 3, 18)), (2, date(2024, 3, 20)), (3, date(2024, 3, 18)), (4, None)])
     holidays = rows("holiday date", [(date(2024, 3, 15),), (date(2024, 3, 14),)])
     got = {r.id: r.business_day for r in business_days.previous_business_day(frame, holidays, "d").collect()}
-    assert got == {1: date(2024, 3, 13), 2: date(2024, 3, 19), 3: date(2024, 3, 13)}
+    assert got == {1: date(2024, 3, 13), 2: date(2024, 3, 19), 3: date(2024, 3, 13), 4: None}
+    # all days of a long holiday are closed: the row stays, and a wider window finds a day
+    closed = rows("holiday date", [(date(2024, 3, 17) - timedelta(days=i),) for i in range(12)])
+    found = business_days.previous_business_day(frame.where("id = 1"), closed, "d").first()
+    assert (found.id, found.business_day) == (1, None)
+    wide = business_days.previous_business_day(frame.where("id = 1"), closed, "d", window=14).first()
+    assert wide.business_day == date(2024, 3, 5)
 
 
 # --- groups ------------------------------------------------------------------------
@@ -127,12 +134,6 @@ def test_latest_row_is_limited_before_the_shuffle(rows):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-def test_small_side_counts_first(rows):
-    big = rows("k int, v int", [(i, i) for i in range(50)])
-    assert "ResolvedHint" in joins.small_side(big, 50)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in joins.small_side(big, 49)._jdf.queryExecution().analyzed().toString()
-
-
 def test_validity(rows):
     frame = rows("id int, dfval date, snap date", [(1, REF, REF), (2, REF + timedelta(days=1), REF)])
     assert [r.id for r in latest.valid_at(frame, REF).collect()] == [2]
@@ -164,8 +165,8 @@ def test_netting_table(rows):
         "debit int, credit int, side string",
         [(10, 4, "AA"), (None, 4, "AA"), (10, 4, "PP"), (None, None, "PP"), (10, 4, "AP"), (-1, 4, "AP"), (10, -4, "AP"), (1, 2, None), (1, 2, "XX")],
     )
-    got = [(r.debit, r.credit, r.category) for r in m.classify_balances(frame, [("debit", "credit")], "side").collect()]
-    loan, resource = fm.LOAN, fm.RESOURCE
+    got = [(r.debit, r.credit, r.category) for r in m.classify_balances(frame, [("debit", "credit")], "side", ("EMPLOI", "RESSOURCE")).collect()]
+    loan, resource = "EMPLOI", "RESSOURCE"
     assert got == [
         (6, None, loan), (-4, None, loan), (None, -6, resource), (None, 0, resource), (10, 4, resource),
         (None, 4, resource), (10, None, loan), (None, None, None), (None, None, None),
@@ -182,20 +183,37 @@ def test_rates(rows):
 
 def test_prefix_classes_take_the_longest_prefix(rows):
     frame = rows("id int, c string, d string", [(1, "6241", "611"), (1, "6241", "611"), (2, None, "6299"), (3, None, None)])
-    got = bag(m.classify_prefix(frame, ["id"], "c", "d"))
+    got = bag(m.classify_prefix(frame, ["id"], "c", "d", LINE_CLASSES, "AUTRES", ("RESS", "EMP")))
     assert got == [(1, "611", "EMP", "RAV"), (1, "6241", "RESS", "REP"), (2, "6299", "EMP", "AUTRES")]
 
 
-def test_conversion(rows):
+def test_conversion(spark, rows):
     frame = rows(
         "id int, currency string, kind string, amount int",
         [(1, "000C", "VIREMENT", 5), (2, "EUR", "VIREMENT", 5), (3, "EUR", "BILLET", 5), (4, "GBP", "BILLET", 5)],
     )
-    rates = rows("currency string, mid double, low double, high double", [("EUR", 10.0, 9.0, 13.0)])
-    for limit in (0, 100):
-        out = m.convert_amounts(frame, rates, ["amount"], max_broadcast=limit)
-        got = {r.id: r.amount_home and float(r.amount_home) for r in out.collect()}
-        assert got == {1: 5.0, 2: 50.0, 3: 55.0, 4: None}
+    # The home currency may be quoted, even twice: its rows need no rate and stay single.
+    quoted = [("EUR", 10.0, 9.0, 13.0), ("000C", 7.0, 7.0, 7.0), ("000C", 8.0, 8.0, 8.0)]
+    rates = rows("currency string, mid double, low double, high double", quoted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        out = m.convert_amounts(frame, rates, ["amount"], home="000C", wire_kind="VIREMENT")
+        got = sorted((r.id, r.amount_home and float(r.amount_home)) for r in out.collect())
+        assert got == [(1, 5.0), (2, 50.0), (3, 55.0), (4, None)]
+        flows = frame.selectExpr("id as a", "date'2024-01-05' as d", "currency", "100 * amount as v", "'C' as s")
+        daily = rates.selectExpr("*", "date'2024-01-05' as quote_date")
+        summed = m.credit_flow(flows, daily, "a", "d", "currency", "v", "s", home="000C")
+        assert {r.account: float(r.credit_flow) for r in summed.collect()} == {1: 5.0, 2: 50.0, 3: 50.0, 4: 0.0}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_filling_takes_time_in_proportion(spark):
+    """Both directions are running frames; none looks at all rows that follow."""
+    series = spark.range(40_000).select(F.lit(1).alias("k"), F.col("id").alias("d"), F.when(F.col("id") % 1000 == 500, F.col("id")).alias("v"))
+    filled = densify.fill_nulls_bidirectional(series, ["v"], "k", "d")
+    assert "unboundedfollowing" not in plan_of(filled).lower()
+    assert filled.where("v <> case when d > 39500 then 39500 else 1000 * floor((d + 499) / 1000) + 500 end").count() == 0
 
 
 def test_sums_since_keep_keys_without_recent_movements(rows):
@@ -405,7 +423,6 @@ def test_home_currency_is_spread(spark, skew_settings, rows):
         "id", F.lit("000C").alias("currency"), F.lit("VIREMENT").alias("kind"), F.lit(0).alias("amount")
     )
     rates = rows("currency string, mid double, low double, high double", [("EUR", 10.0, 9.0, 13.0)])
-    assert "xxhash64" not in plan_of(m.convert_amounts(frame, rates, ["amount"]))
-    out = m.convert_amounts(frame, rates, ["amount"], max_broadcast=0)
+    out = m.convert_amounts(frame, rates, ["amount"], home="000C", wire_kind="VIREMENT")
     sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 20000 / 8 * 1.5

@@ -1,13 +1,17 @@
 """Every query against its SQL on the smallest tables, and properties of the plans."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from querybook import ORACLES, QUERIES
 from tests.conftest import plan_of
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"key_xxhash64"}
 
 
 @pytest.fixture(scope="module")
@@ -15,15 +19,26 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    problem, _ = compare(spark, con, SF_DIR, queries()[name], oracle_sql().get(name))
+    problem, _ = compare(spark, con, SF_DIR, QUERIES[name], ORACLES.get(name))
     assert problem == ""
 
 
-def test_every_query_has_sql_but_the_listed_ones():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
+
+
+def test_entry_does_without_the_text_operators():
+    """As when their subpackage is left out; any other missing module is an error."""
+    root = Path(__file__).resolve().parent.parent
+    code = "import sys; sys.modules['{}'] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    for missing, works in (("tidemark.llm", True), ("querybook.flows", False)):
+        done = subprocess.run([sys.executable, "-c", code.format(missing)], cwd=root, capture_output=True, text=True)
+        assert (done.returncode == 0) == works
+        if works:
+            assert int(done.stdout) == len(QUERIES)
 
 
 def test_entry(spark):
@@ -41,7 +56,7 @@ def test_plans_hold_at_scale(spark):
     before = spark.conf.get(setting)
     spark.conf.set(setting, "-1")
     try:
-        for name, run in queries().items():
+        for name, run in QUERIES.items():
             if name.startswith(WRITERS):
                 continue
             plan = plan_of(run(spark, SF_DIR))

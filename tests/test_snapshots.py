@@ -119,6 +119,40 @@ def test_only_wanted_partitions_are_read(history):
         assert "Filter (" not in plan and "Join" not in plan and "Exchange" not in plan
 
 
+def test_only_wanted_partitions_are_searched(history, monkeypatch):
+    """The search for the dates itself opens only partitions that can hold one."""
+    plans, find = [], s._find
+
+    def watched(dates, *args, **kwargs):
+        seen = type(dates).agg
+
+        def agg(frame, *columns):
+            plans.append(plan_of(frame))
+            return seen(frame, *columns)
+
+        monkeypatch.setattr(type(dates), "agg", agg)
+        try:
+            return find(dates, *args, **kwargs)
+        finally:
+            monkeypatch.setattr(type(dates), "agg", seen)
+
+    monkeypatch.setattr(s, "_find", watched)
+    day = "2024-03-13"
+    s.last_n_snapshots(history, day)
+    for unit in ("week", "month", "quarter", "year"):
+        s.period_snapshots(history, day, unit)
+    s.period_snapshots(history, day, "week", week_rule="calendar_year")
+    s.month_end_snapshot(history, day)
+    s.history_from(history, day, days=2, weeks=1, months=2, year_to_year=1)
+    s.comparison_calendar(history, day)
+    s.period_close_calendar(history, day)
+    s.limited_history(history, day)
+    assert len(plans) == 11
+    for plan in plans:
+        filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+        assert "partitiondate" in filters and "20" in filters, plan
+
+
 def test_filters_reach_the_scan_of_a_timestamp_column(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     picked = s.history_from(orders, "2001-06-15", days=2, col="o_orderdate").select("o_orderkey")

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 AMOUNT = "decimal(38,4)"
 
-# Balance sides and class labels.
+# The sides an account can be on.
 ASSET, MIXED, LIABILITY = "AA", "AP", "PP"
-LOAN, RESOURCE = "EMPLOI", "RESSOURCE"
 
 
 def _or_zero(column: Column) -> Column:
@@ -31,13 +30,15 @@ def net_credit(debit: Column, credit: Column, side: Column) -> Column:
     )
 
 
-def side_label(debit: Column, credit: Column, side: Column) -> Column:
+def side_label(
+    debit: Column, credit: Column, side: Column, loan: str, resource: str
+) -> Column:
     """Loan or resource; a mixed account is a resource when it has a credit."""
     return (
-        F.when(side == ASSET, LOAN)
-        .when(side == LIABILITY, RESOURCE)
-        .when((side == MIXED) & (credit >= 0), RESOURCE)
-        .when((side == MIXED) & (debit >= 0), LOAN)
+        F.when(side == ASSET, loan)
+        .when(side == LIABILITY, resource)
+        .when((side == MIXED) & (credit >= 0), resource)
+        .when((side == MIXED) & (debit >= 0), loan)
     )
 
 
@@ -62,37 +63,3 @@ def prefix_class(code: Column, classes: dict[str, str], default: str) -> Column:
     for prefix in sorted(classes, key=len, reverse=True):
         found = found.when(code.startswith(prefix), F.lit(classes[prefix]))
     return found.otherwise(F.lit(default))
-
-
-# Class of a balance-sheet line by its prefix.
-LINE_CLASSES = {
-    "10": "E.BAM/TRES/CCP",
-    "11": "CAV/EC",
-    "12": "CAV/EF",
-    "21": "CAV",
-    "22": "TRESO",
-    "23": "EQUIPI",
-    "24": "CONS",
-    "25": "IMMO",
-    "27": "DEPOTS DIV",
-    "28": "CRE.DIV",
-    "29": "CRE.SOUF",
-    "31": "TITRES",
-    "50": "R.BAM/TRES/CCP",
-    "51": "DET/EC",
-    "52": "DET/SF",
-    "61": "RAV",
-    "624": "REP",
-    "625": "RAT",
-    "626": "RAT",
-    "627": "REP",
-    "65": "DEP.DIV",
-    "67": "DEP.DIV",
-    "68": "DEP.DIV",
-    "73": "CD",
-    "91": "HB.ENG/EC",
-    "92": "HB.ENG/CLI",
-    "95": "HB.AVAL/EC",
-    "96": "HB.CAUT.AVAL",
-}
-OTHER_CLASS = "AUTRES"

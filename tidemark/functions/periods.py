@@ -179,3 +179,8 @@ FLAG_PERIODS: tuple[tuple[str, str, int], ...] = (
 def flag_names(name: str) -> list[str]:
     """Column names of the ten flags called ``name``."""
     return [f"is_{name}_{suffix}" for suffix, _, _ in FLAG_PERIODS]
+
+
+def past_prefix(unit: str, n: int = 1) -> str:
+    """``last_month``, ``last_2_months``: how columns of earlier values begin."""
+    return f"last_{unit}" if n == 1 else f"last_{n}_{unit}s"

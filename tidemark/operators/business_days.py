@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
 
-# Days looked at before giving up, and the weekend (Sunday is 1).
-WINDOW = 7
+# The weekend (Sunday is 1).
 WEEKEND = (1, 7)
 
 
@@ -19,15 +18,17 @@ def previous_business_day(
     back: int = 1,
     holiday: str = "holiday",
     name: str = "business_day",
+    window: int = 7,
 ) -> DataFrame:
-    """Add the latest day in ``[col - back - 7, col - back]`` that is neither on a
-    weekend nor a holiday.  Rows without such a day are dropped.
+    """Add the latest day in ``[col - back - window, col - back]`` that is neither on a
+    weekend nor a holiday.  All rows are kept: one without such a day, or without a
+    date, has a null.
 
     The calendar is worked out for the distinct days of ``col`` only, which are
     bounded by the calendar, and joined back; the rows are not multiplied.
     """
     days = df.select(p.day_of(col).alias("__day")).distinct()
-    offsets = F.sequence(F.date_sub("__day", back + WINDOW), F.date_sub("__day", back))
+    offsets = F.sequence(F.date_sub("__day", back + window), F.date_sub("__day", back))
     candidates = days.select("__day", F.explode(offsets).alias("__candidate")).where(
         ~F.dayofweek("__candidate").isin(*WEEKEND)
     )
@@ -38,4 +39,4 @@ def previous_business_day(
         .agg(F.max("__candidate").alias(name))
     )
     # one row per calendar day, however many rows df has: safe to broadcast
-    return df.join(F.broadcast(chosen), p.day_of(df[col]) == chosen["__day"]).drop("__day")
+    return df.join(F.broadcast(chosen), p.day_of(df[col]) == chosen["__day"], "left").drop("__day")

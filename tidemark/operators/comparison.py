@@ -12,6 +12,7 @@ aggregation without any sort, and it reads only the days it needs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date as Date
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +32,7 @@ class Period(NamedTuple):
 
 def past_name(by: str, unit: str, n: int = 1) -> str:
     """``last_month_x``, ``last_2_months_x``."""
-    return f"last_{unit}_{by}" if n == 1 else f"last_{n}_{unit}s_{by}"
+    return f"{p.past_prefix(unit, n)}_{by}"
 
 
 def daily_totals(
@@ -274,6 +275,7 @@ def propagate_as_of(
     periods: Sequence[Period | tuple[str, int]] = (
         ("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2),
     ),
+    observed: Sequence[str] = (),
     year_to_year: bool = True,
 ) -> DataFrame:
     """The rows of one date with all their comparison columns: what
@@ -297,7 +299,63 @@ def propagate_as_of(
         *[at(n + 1, c).alias(past_name(c, "day", n)) for c in cols for n in days],
     ).where(p.day_of(order) == p.date_lit(date))
     past = values_as_of(df, cols, date, periods, keys, order, year_to_year).drop(*cols)
-    return attach(today, past, keys)
+    out = attach(today, past, keys)
+    for unit in observed:
+        out = attach(out, observed_as_of(df, cols, date, unit, keys, order), keys)
+    return out
+
+
+def observed_as_of(
+    df: DataFrame,
+    cols: str | Sequence[str],
+    date: DateLike,
+    unit: str,
+    keys: str | Sequence[str],
+    order: str,
+) -> DataFrame:
+    """One row per key: the last known close of a period before that of the date.
+
+    The aggregation form of :func:`prev_observed_column`: the close of every period a
+    key has rows in, then the latest of them, both combined before the shuffle.
+    """
+    keys, cols = as_list(keys), as_list(cols)
+    day = p.day_of(order)
+    before = df.where(day < p.date_lit(p.period_start(date, unit)))
+    closes = before.groupBy(*keys, p.period_of(day, unit).alias("__period")).agg(
+        *[F.max_by(c, day).alias(c) for c in cols]
+    )
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col("__period"))
+    return closes.groupBy(*keys).agg(*[F.max_by(c, known(c)).alias(past_name(c, unit)) for c in cols])
+
+
+def values_on_dates(
+    df: DataFrame,
+    cols: str | Sequence[str],
+    date: DateLike,
+    calendar: dict[str, Date | None],
+    keys: str | Sequence[str],
+    order: str,
+) -> DataFrame:
+    """The rows of one date with each key's value on the dates of a calendar, which maps
+    the beginning of a new column's name to its date.
+
+    ``df`` may hold these days only (``snapshots.on_calendar``).  One aggregation gives all
+    columns; a key without a row on a date has null there.
+    """
+    keys, cols = as_list(keys), as_list(cols)
+
+    def on(day: DateLike | None, column: str) -> Column:
+        here = F.lit(False) if day is None else p.day_of(order) == p.date_lit(day)
+        return F.max(F.when(here, F.col(column)))
+
+    return (
+        df.groupBy(*keys)
+        .agg(
+            *[on(date, c).alias(c) for c in df.columns if c not in keys],
+            *[on(d, c).alias(f"{name}_{c}") for c in cols for name, d in calendar.items()],
+        )
+        .where(p.day_of(order) == p.date_lit(date))
+    )
 
 
 # --- variations ----------------------------------------------------------------

@@ -19,12 +19,14 @@ def fill_nulls_bidirectional(
 
     Meant for reference series such as rates: one row per key and day.
     """
-    rows = Window.partitionBy(*as_list(keys)).orderBy(order)
-    ahead = rows.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    behind = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Both are running frames, one from each end, so that time grows with the rows.
+    running = (Window.unboundedPreceding, Window.currentRow)
+    group = Window.partitionBy(*as_list(keys))
+    behind = group.orderBy(F.col(order).asc_nulls_first()).rowsBetween(*running)
+    ahead = group.orderBy(F.col(order).desc_nulls_last()).rowsBetween(*running)
     filled = {
         c: F.coalesce(
-            F.first(c, ignorenulls=True).over(ahead),
+            F.last(c, ignorenulls=True).over(ahead),
             F.last(c, ignorenulls=True).over(behind),
         )
         for c in cols

@@ -66,16 +66,15 @@ def keep_group_extremes(
     return df.join(renamed, match, "left_semi")
 
 
-SMALL = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = SMALL) -> bool:
-    """Count whether there are at most ``max_rows`` rows, reading no more than needed."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL) -> DataFrame:
-    """Mark a join side for broadcast, but only after counting that it has at most
-    ``max_rows`` rows; a larger one is returned without a hint and takes part in an
-    ordinary shuffled join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def spread_key(
+    df: DataFrame, key: str | Column, free: Column, by: Sequence[str] | None = None
+) -> Column:
+    """A text join key that matches nothing where ``free`` holds, and ``key`` elsewhere.
+
+    Rows that need no partner (often most of a table) then spread over all tasks by a
+    hash of ``by`` (all columns by default) instead of meeting at one hot key, and they
+    never match, whatever the other side holds.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    hashed = F.xxhash64(*(by or df.columns)).cast("string")
+    return F.when(free, F.concat(F.lit("\u0000#"), hashed)).otherwise(key)

@@ -17,14 +17,18 @@ def latest_by(
     keys: str | Sequence[str],
     order: str | Sequence[str],
     ascending: bool = False,
-    ties: Sequence[str] = (),
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """The newest row of each key, or the oldest with ``ascending``.
 
     ``ties`` completes the order, so that the result does not depend on how rows
-    are distributed.  ``row_number() = 1`` is a form Spark limits per key *before*
+    are distributed; by default all other columns do, as far as they can be ordered.  ``row_number() = 1`` is a form Spark limits per key *before*
     the shuffle: each map task sends one row per key, also for a hot key.
     """
+    if ties is None:
+        used = {*as_list(keys), *as_list(order)}
+        rest = [f for f in df.schema.fields if f.name not in used]
+        ties = [f.name for f in rest if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
     direction = F.asc_nulls_last if ascending else F.desc_nulls_last
     by = [direction(c) for c in as_list(order)] + [F.asc_nulls_last(c) for c in ties]
     rank = F.row_number().over(Window.partitionBy(*as_list(keys)).orderBy(*by))

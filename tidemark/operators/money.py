@@ -11,7 +11,7 @@ from tidemark.functions import money as m
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators.densify import expected_dates, fill_nulls_bidirectional
-from tidemark.operators.joins import SMALL, as_list, is_small, small_side
+from tidemark.operators.joins import as_list, spread_key
 
 # --- netting and classification --------------------------------------------------
 
@@ -26,17 +26,18 @@ def classify_balances(
     df: DataFrame,
     pairs: Sequence[tuple[str, str]],
     side: str,
+    labels: tuple[str, str],
     label: str = "category",
 ) -> DataFrame:
     """Net several (debit, credit) pairs and label the row as loan or resource.
 
-    The label looks at the first pair after netting.
+    ``labels`` are the texts for a loan and for a resource.  The label looks at the first pair after netting.
     """
     out = df
     for debit, credit in pairs:
         out = net_by_side(out, debit, credit, side)
     debit, credit = pairs[0]
-    return out.withColumn(label, m.side_label(F.col(debit), F.col(credit), F.col(side)))
+    return out.withColumn(label, m.side_label(F.col(debit), F.col(credit), F.col(side), *labels))
 
 
 def classify_prefix(
@@ -44,17 +45,17 @@ def classify_prefix(
     ids: Sequence[str],
     credit_line: str,
     debit_line: str,
-    classes: dict[str, str] | None = None,
-    default: str = m.OTHER_CLASS,
+    classes: dict[str, str],
+    default: str,
+    categories: tuple[str, str],
 ) -> DataFrame:
-    """Class of each credit line (category ``RESS``) and debit line (``EMP``).
+    """Class of each line by its prefix; ``categories`` label credit and debit lines.
 
     One pass: a row yields up to two lines; distinct lines are kept.
     """
-    classes = m.LINE_CLASSES if classes is None else classes
     lines = F.array(
-        F.struct(F.col(credit_line).alias("line"), F.lit("RESS").alias("category")),
-        F.struct(F.col(debit_line).alias("line"), F.lit("EMP").alias("category")),
+        F.struct(F.col(credit_line).alias("line"), F.lit(categories[0]).alias("category")),
+        F.struct(F.col(debit_line).alias("line"), F.lit(categories[1]).alias("category")),
     )
     split = df.select(*ids, F.inline(lines)).where(F.col("line").isNotNull()).distinct()
     return split.select("*", m.prefix_class(F.col("line"), classes, default).alias("class"))
@@ -124,10 +125,10 @@ def rate_history(currencies: DataFrame, wire: DataFrame, cash: DataFrame) -> Dat
     return quoted.join(currencies, "currency", "left")
 
 
-def tagged_rates(wire: DataFrame, cash: DataFrame) -> DataFrame:
+def tagged_rates(wire: DataFrame, cash: DataFrame, tags: tuple[str, str]) -> DataFrame:
     """The distinct quotes of both files in one table with a type tag."""
-    both = wire.withColumn("quote_type", F.lit("VIREMENT")).unionByName(
-        cash.withColumn("quote_type", F.lit("BILLET"))
+    both = wire.withColumn("quote_type", F.lit(tags[0])).unionByName(
+        cash.withColumn("quote_type", F.lit(tags[1]))
     )
     return both.distinct()
 
@@ -136,32 +137,26 @@ def convert_amounts(
     df: DataFrame,
     rates: DataFrame,
     amounts: Sequence[str],
+    *,
+    home: str,
+    wire_kind: str,
     currency: str = "currency",
     kind: str = "kind",
-    home: str = "000C",
-    wire_kind: str = "VIREMENT",
     on_date: str | None = None,
     suffix: str = "_home",
     spread_by: Sequence[str] | None = None,
-    max_broadcast: int = SMALL,
 ) -> DataFrame:
     """Amounts in home currency: wire rows at the mid rate, others at the midpoint
     of the note quotes, home-currency rows as they are.
 
     ``rates`` has ``currency, mid, low, high`` (and ``quote_date`` when
-    ``on_date`` names the amount's date column).  Rates of at most ``max_broadcast``
-    rows, which are counted, are broadcast.  With more of them the join shuffles.
-    The home currency usually holds most rows and needs no rate, so its join key is
-    then replaced by a hash of ``spread_by`` (all columns by default): those rows
-    spread over all tasks instead of meeting in one.
+    ``on_date`` names the amount's date column).  Rows in home currency, usually the
+    most, need no rate and never join: their key is a hash of ``spread_by`` (all
+    columns by default), so that they spread over all tasks.  Whether the rates are
+    broadcast is Spark's choice by their measured size and changes no row.
     """
     is_home = F.col(currency) == home
-    broadcast = is_small(rates, max_broadcast)
-    key = F.col(currency)
-    if not broadcast:
-        hashed = F.xxhash64(*(spread_by or df.columns))
-        key = F.when(is_home, F.concat(F.lit("#"), hashed.cast("string"))).otherwise(key)
-    keyed = df.withColumn("__currency", key)
+    keyed = df.withColumn("__currency", spread_key(df, currency, is_home, spread_by))
     quotes = rates.select(
         F.col("currency").alias("__quoted"),
         *([F.col("quote_date").alias("__quote_date")] if on_date else []),
@@ -176,8 +171,7 @@ def convert_amounts(
         .when(F.col(kind) == wire_kind, F.col("__mid"))
         .otherwise(F.col("__note"))
     )
-    side = F.broadcast(quotes) if broadcast else quotes
-    return keyed.join(side, match, "left").select(
+    return keyed.join(quotes, match, "left").select(
         *df.columns,
         *[(F.col(a) * rate).cast(m.AMOUNT).alias(a + suffix) for a in amounts],
     )
@@ -217,13 +211,15 @@ def _credits_by_day(
 
 
 def _at_rate(flows: DataFrame, rates: DataFrame, home: str) -> DataFrame:
-    """Attach ``rate / 100`` of the day and currency as ``__rate``."""
+    """Attach ``rate / 100`` of the day and currency as ``__rate``; home rows do not join."""
     quotes = rates.select(
         F.trim("currency").alias("__currency"), F.col("quote_date").alias("__day"), "mid"
     )
-    match = (flows["currency"] == quotes["__currency"]) & (flows["day"] == quotes["__day"])
-    rate = F.when(F.col("currency") == home, F.lit(1)).otherwise(F.col("mid")) / F.lit(100)
-    return flows.join(small_side(quotes), match, "left").select(
+    is_home = F.col("currency") == home
+    keyed = flows.withColumn("__key", spread_key(flows, "currency", is_home))
+    match = (keyed["__key"] == quotes["__currency"]) & (keyed["day"] == quotes["__day"])
+    rate = F.when(is_home, F.lit(1)).otherwise(F.col("mid")) / F.lit(100)
+    return keyed.join(quotes, match, "left").select(
         *flows.columns, rate.alias("__rate")
     )
 
@@ -236,7 +232,7 @@ def credit_flow(
     currency: str,
     amount: str,
     side: str,
-    home: str = "000C",
+    home: str,
 ) -> DataFrame:
     """Credit movements per account in home currency; amounts are in hundredths and
     an unknown rate counts as 0."""
@@ -256,8 +252,8 @@ def monthly_flow_flags(
     currency: str,
     amount: str,
     side: str,
+    home: str,
     threshold: int = 2000,
-    home: str = "000C",
 ) -> DataFrame:
     """Per account: total of the month, and for this month and the two before a 0/1
     flag that some movement reached the threshold."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import UNKNOWN_NUMBER, UNKNOWN_TEXT
-from tidemark.operators.joins import as_list, small_side
+from tidemark.operators.joins import as_list
 
 # --- unknown members ---------------------------------------------------------------
 
@@ -45,16 +45,13 @@ def fill_unknown(fact: DataFrame) -> DataFrame:
 class Dimension:
     """One dimension of a star: its key columns, what to take and how to join.
 
-    ``on`` maps fact columns to dimension columns.  ``max_rows`` allows a broadcast
-    once the dimension has been counted to be no larger; without it Spark decides
-    from the measured size.
+    ``on`` maps fact columns to dimension columns.
     """
 
     df: DataFrame
     on: dict[str, str]
     take: dict[str, str] = field(default_factory=dict)
     how: str = "left"
-    max_rows: int | None = None
 
 
 def star_enrich(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
@@ -69,8 +66,6 @@ def star_enrich(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
             *[F.col(dim_col).alias(keys[fact_col]) for fact_col, dim_col in dim.on.items()],
             *[F.col(source).alias(name) for name, source in dim.take.items()],
         )
-        if dim.max_rows is not None:
-            side = small_side(side, dim.max_rows)
         match = reduce(
             lambda a, b: a & b, [out[fact_col] == side[key] for fact_col, key in keys.items()]
         )
@@ -185,7 +180,7 @@ def priority_lookup(
     """Values from the first of several lookup tables that knows them.
 
     ``maps`` lists, by priority, ``name -> (table, key in df, key in table)`` with
-    one row per key; small ones are broadcast after counting.  ``take`` maps a
+    one row per key.  ``take`` maps a
     column of the tables to its default.
     ``override = (name, rule)`` prefers that table where the rule holds; the rule
     gets a function ``(table name, column) -> Column``.
@@ -196,7 +191,7 @@ def priority_lookup(
             F.col(table_key).alias(f"__{name}_key"),
             *[F.col(c).alias(f"__{name}_{c}") for c in take],
         )
-        out = out.join(small_side(side), out[key] == side[f"__{name}_key"], "left")
+        out = out.join(side, out[key] == side[f"__{name}_key"], "left")
 
     def looked_up(name: str, column: str) -> Column:
         return F.col(f"__{name}_{column}")

@@ -11,7 +11,6 @@ from tidemark.functions import keys as k
 from tidemark.functions.periods import DateLike
 from tidemark.operators import flags
 from tidemark.operators.comparison import decode_codes
-from tidemark.operators.joins import small_side
 from tidemark.operators.latest import latest_by, valid_at
 from tidemark.operators.shaping import fill_unknown, full_outer_rules, unmatched_rows
 
@@ -39,7 +38,7 @@ def account_dimension(
         "account", k.surrogate_key("portfolio", "place").alias("dispute_key")
     )
     owned = portfolios.select("customer", k.surrogate_key("portfolio", "place").alias("customer_key"))
-    codes = small_side(valid_at(currencies, date).select("currency", "code").distinct())
+    codes = valid_at(currencies, date).select("currency", "code").distinct()
     known = (
         accounts.join(disputed, "account", "left")
         .join(holders, "element", "left")

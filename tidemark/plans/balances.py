@@ -14,7 +14,7 @@ from tidemark.functions.periods import DateLike
 from tidemark.operators import comparison as c
 from tidemark.operators import flags, money, objectives
 from tidemark.operators.business_days import previous_business_day
-from tidemark.operators.joins import small_side
+from tidemark.sources import snapshots
 
 BALANCE_PERIODS = (
     ("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2),
@@ -26,36 +26,47 @@ def balance_fact(
     rates: DataFrame,
     mapping: DataFrame,
     date: DateLike,
-    home: str = "000C",
+    home: str,
+    wire_kind: str,
+    labels: tuple[str, str],
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Balances of one day in home currency, netted and classified, next to their
     earlier values.
 
     ``balances(account, currency, kind, class, day, debit, credit)``, one row per
     account, currency and day; ``rates(currency, quote_date, mid, low, high)``;
-    ``mapping(class, side)``.
+    ``mapping(class, side)``; ``labels`` are the texts for a loan and for a resource.
+
+    The dates compared with are found first, from ``dates`` (one row per snapshot, see
+    ``catalog_dates``) or the balances' own days; then only those days are read, once, and
+    converted.  "``n`` days back" is the table's ``n``-th snapshot before the date, and an
+    account without a balance on a date has null there.
 
     A mixed account gives two rows, one as a resource without debits and one as a
     loan without credits; this is an explode and not a union of filtered copies.
     """
+    known = snapshots.snapshot_dates(balances, "day") if dates is None else dates
+    calendar = snapshots.comparison_dates(known, date, periods=BALANCE_PERIODS, col="day")
     converted = money.convert_amounts(
-        balances, rates, ["debit", "credit"], home=home, on_date="day", spread_by=["account", "day"]
-    )
+        snapshots.on_calendar(balances, date, calendar, "day"), rates, ["debit", "credit"],
+        home=home, wire_kind=wire_kind, on_date="day", spread_by=["account", "day"],
+    )
     home_cols = ["debit_home", "credit_home"]
-    today = c.propagate_as_of(
-        converted, home_cols, date, ["account", "currency"], "day", periods=BALANCE_PERIODS
+    today = c.values_on_dates(
+        converted, home_cols, date, calendar, ["account", "currency"], "day"
     )
-    sides = small_side(mapping.select("class", "side").distinct())
+    sides = mapping.select("class", "side").distinct()
     fact = today.join(sides, "class", "left")
     debits = ["debit"] + [col for col in fact.columns if col.endswith("debit_home")]
     pairs = [(d, d.replace("debit", "credit")) for d in debits]
-    labelled = money.classify_balances(fact, pairs, "side")
+    labelled = money.classify_balances(fact, pairs, "side", labels)
     mixed = F.col("side") == fm.MIXED
-    labels = F.when(mixed, F.array(F.lit(fm.RESOURCE), F.lit(fm.LOAN))).otherwise(
+    categories = F.when(mixed, F.array(F.lit(labels[1]), F.lit(labels[0]))).otherwise(
         F.array("category")
     )
-    split = labelled.withColumn("category", F.explode(labels))
-    resource, loan = mixed & (F.col("category") == fm.RESOURCE), mixed & (F.col("category") == fm.LOAN)
+    split = labelled.withColumn("category", F.explode(categories))
+    loan, resource = (mixed & (F.col("category") == label) for label in labels)
     return split.withColumns(
         {
             **{d: F.when(~F.coalesce(resource, F.lit(False)), F.col(d)) for d, _ in pairs},

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators import comparison, flags, lifecycle, money
-from tidemark.operators.joins import small_side
 
 # Balances that make an account count, by market, and limits.
 BALANCE_LIMITS = {"RETAIL": 500, "PRO": 2500}
@@ -35,7 +34,7 @@ def customer_status(
     date: DateLike,
     loan_kinds: Sequence[str],
     resource_kinds: Sequence[str],
-    home: str = "000C",
+    home: str,
     limits: dict[str, int] | None = None,
     engaged_from: int = ENGAGED_FROM,
     entry_flow: int = ENTRY_FLOW,
@@ -48,10 +47,8 @@ def customer_status(
     ``operations(operation)``, those a customer starts.
 
     Every input is reduced to one row per account before it is joined, and all
-    these joins are on the account, so each input is shuffled once.  The list of
-    operations is broadcast when it is counted to be short: there are few codes,
-    so a shuffle on them would be skewed.  Customers of
-    other markets than those with a balance limit are left out.
+    these joins are on the account.  Whether the list of operations is broadcast is
+    Spark's choice by its measured size.  Customers of other markets than those with a balance limit are left out.
     """
     limits = limits or BALANCE_LIMITS
     flow = money.credit_flow(
@@ -59,7 +56,7 @@ def customer_status(
     )
     recent = (
         movements.where(p.within(p.day_of("day"), p.rolling_bounds(date, ACTIVE_MONTHS)))
-        .join(small_side(operations), "operation", "left_semi")
+        .join(operations, "operation", "left_semi")
         .groupBy("account")
         .agg(F.lit(True).alias("moved"))
     )

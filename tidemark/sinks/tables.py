@@ -7,6 +7,8 @@ there yet is created empty from the schema, so the data is computed only once.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tidemark.functions.periods import DateLike
 from tidemark.sources.snapshots import SNAPSHOT
 
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "text")
+_overwriting = threading.Lock()
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -79,18 +82,41 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
 
 
 def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
+    """Append, or replace the partitions that receive rows.
+
+    An insert into a file table takes the overwrite mode from the session only.  It is
+    dynamic while the write is planned and as before afterwards, and writers of one process
+    take turns, so that none sees another's setting.
+    """
     spark = df.sparkSession
+    rows = _aligned(df, table)
     if _provider(spark, table) not in FILE_FORMATS:
-        writer = _aligned(df, table).writeTo(table)
-        writer.overwritePartitions() if overwrite else writer.append()
+        rows.writeTo(table).overwritePartitions() if overwrite else rows.writeTo(table).append()
+        return
+    if not overwrite:
+        rows.write.insertInto(table)
         return
     mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        _aligned(df, table).write.insertInto(table, overwrite=overwrite)
-    finally:
-        spark.conf.set(mode, before)
+    with _overwriting:
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
+
+
+def _replace_day(df: DataFrame, table: str, col: str, day: DateLike) -> None:
+    """Replace one known partition, also by nothing."""
+    spark = df.sparkSession
+    if _provider(spark, table) not in FILE_FORMATS:
+        _aligned(df, table).writeTo(table).overwrite(F.col(col) == p.date_lit(day))
+        return
+    rows = _aligned(df, table).drop(col)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({col} = '{p.as_date(day)}') SELECT * FROM {{rows}}",
+        rows=rows,
+    )
 
 
 def _even(df: DataFrame, wanted: bool) -> DataFrame:
@@ -106,14 +132,15 @@ def write_partition(
     location: str | None = None,
     even_files: bool = False,
 ) -> None:
-    """Replace the partition of one day; running it again changes nothing else.
+    """Replace the partition of one day; running it again changes nothing else.  An
+    empty result leaves the day without rows.
 
     ``even_files`` adds an exchange that merges small and splits large tasks, for a
     result that comes in many small pieces.
     """
     stamped = _even(df, even_files).withColumn(col, p.date_lit(date))
     _prepare(stamped, table, col, provider, location)
-    _insert(stamped, table, overwrite=True)
+    _replace_day(stamped, table, col, date)
 
 
 def append_partition(

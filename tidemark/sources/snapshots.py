@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date as Date
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,9 +133,10 @@ def _find(
     """The newest date in each of ``last_in``, every date in any of ``all_in`` and the
     ``recent`` newest dates not after ``date``.
 
-    One aggregation over the distinct days finds them all, so a table that is not
-    partitioned by day is scanned once, and only its date column.  What reaches the
-    driver is one row.
+    One aggregation finds them all, so a table that is not partitioned by day is
+    scanned once, and only its date column.  The union of the ranges stands in front
+    of it as a filter on literals, so that only partitions that can hold one of the
+    dates are opened.  What reaches the driver is one row.
     """
     day = F.col(col)
     picks = [F.max(F.when(r, day)) for r in last_in]
@@ -144,6 +146,8 @@ def _find(
         sets.append(F.slice(F.sort_array(upto, asc=False), 1, recent))
     if not picks and not sets:
         return set()
+    wanted = [*last_in, *all_in, *([day <= p.date_lit(date)] if recent else [])]
+    dates = dates.where(reduce(lambda a, b: a | b, wanted))
     found = dates.agg(*[c.alias(f"c{i}") for i, c in enumerate([*picks, *sets])]).first()
     single = {d for d in found[: len(picks)] if d is not None}
     return single.union(*found[len(picks):])
@@ -293,6 +297,45 @@ def comparison_calendar(
     return _preset(df, date, col, dates, days, [p.within(F.col(col), r) for r in ranges])
 
 
+def comparison_dates(
+    dates: DataFrame,
+    date: DateLike,
+    days: int = 4,
+    periods: Iterable[tuple[str, int]] = (),
+    year_to_year: bool = True,
+    col: str = SNAPSHOT,
+) -> dict[str, Date | None]:
+    """The date behind every comparison of a run: ``last_day``, ``last_2_days`` ... for the
+    snapshots before ``date``, ``last_month``, ``last_2_months`` ... for the last snapshot of
+    earlier periods, ``same_day_last_year``; null where there is none.
+
+    One aggregation over the snapshot dates (see :func:`catalog_dates`) finds them all.
+    """
+    day = F.col(col)
+    periods = list(periods)
+    spans = [p.within(day, p.period_bounds(date, unit, n)) for unit, n in periods]
+    same_day = p.shift_back(date, "year", 1)
+    picks = [*spans, day == p.date_lit(same_day)]
+    before = F.collect_set(F.when(day < p.date_lit(date), day))
+    found = dates.where(day <= p.date_lit(date)).agg(
+        F.slice(F.sort_array(before, asc=False), 1, max(days, 1)),
+        *[F.max(F.when(pick, day)) for pick in picks],
+    ).first()
+    recent = [*found[0], *[None] * days]
+    out = {p.past_prefix("day", n + 1): recent[n] for n in range(days)}
+    out.update({p.past_prefix(u, n): d for (u, n), d in zip(periods, found[1:], strict=False)})
+    if year_to_year:
+        out["same_day_last_year"] = found[-1]
+    return out
+
+
+def on_calendar(
+    df: DataFrame, date: DateLike, calendar: dict[str, Date | None], col: str = SNAPSHOT
+) -> DataFrame:
+    """The snapshots of a date and of the dates it is compared with, as literals."""
+    return _on_dates(df, {p.as_date(date), *calendar.values()} - {None}, col)
+
+
 def period_close_calendar(
     df: DataFrame, date: DateLike, col: str = SNAPSHOT, dates: DataFrame | None = None
 ) -> DataFrame:

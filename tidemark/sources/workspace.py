@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the session.
-
-    A local session that does not name one gets a temporary folder for the life of
-    the process.  On a cluster that folder would be seen by one machine only, so
-    there the setting is required.
-    """
+    """The folder all executors can reach, as named by the session.  There is no fallback:
+    a folder of one machine would be seen by that machine only."""
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not folder:
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    return _local_folder()
+    return folder
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared one that nobody else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return unused(shared_folder(spark), name)
+
+
+def unused(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
