@@ -67,15 +67,42 @@ class Lexicon:
     weights: dict[str, float]
 
     def weight(self, letters: str) -> float:
-        return max([self.weights.get(s, 0.0) for s in stems(letters)]) if letters else 0.0
+        """The largest weight of the word and its beginnings."""
+        if not letters:
+            return 0.0
+        get, n = self.weights.get, len(letters)
+        found = get("=" + letters, 0.0)
+        if n > 4:
+            found = max(found, get(letters[:4], 0.0))
+            if n > 5:
+                found = max(found, get(letters[:5], 0.0))
+                if n > 6:
+                    found = max(found, get(letters[:6], 0.0))
+        return found
 
 
 _KNOWN = frozenset(INSULTS)
 
 
+_TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
+
+
+def _repeats(word: str) -> float:
+    return float(_TRIPLE.search(word) is not None)
+
+
 def _word_facts(word: str, lexicon: Lexicon) -> tuple[float, ...]:
     """(weight, insult, learned, you, letters, capitals, shouted, marks, shout marks,
     disguised, disguised hit, repeats, length)"""
+    if word.isalpha():  # most words: letters only
+        letters = word.lower()
+        letters = letters if letters.isalpha() else plain(word)
+        weight, insult = lexicon.weight(letters), letters in _KNOWN
+        capitals = 0 if word == letters else sum(map(str.isupper, word))
+        return (
+            max(weight, 2.0 * insult), float(insult), float(weight > 0), float(letters in YOU), len(letters), capitals,
+            float(capitals > 1 and capitals == len(letters)), 0, 0, 0.0, 0.0, _repeats(word), len(word),
+        )
     letters = plain(word)
     weight, insult = lexicon.weight(letters), letters in _KNOWN
     core = word.strip(".,;:!?\"'()[]")
@@ -90,11 +117,10 @@ def _word_facts(word: str, lexicon: Lexicon) -> tuple[float, ...]:
     capitals = sum(map(str.isupper, word))
     marks = sum(not c.isalnum() for c in word)
     disguised = odd and len(letters) > 0 and len(core) > len(letters)
-    repeats = any(a == b == c for a, b, c in zip(word, word[1:], word[2:], strict=False))
     return (
         max(weight, 2.0 * insult), float(insult), float(weight > 0), float(letters in YOU), len(letters), capitals,
         float(capitals > 1 and capitals == len(letters)), marks, word.count("!"), float(disguised), hidden,
-        float(repeats), len(word),
+        _repeats(word), len(word),
     )
 
 
@@ -152,7 +178,7 @@ def _features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.sliced(batch):
+            for part in T.sliced(batch, budget=2 * T.SLICE_BYTES):
                 matrix = feature_matrix(part.column("text"), shared.value)
                 columns = [pa.array(matrix[:, i]) for i in range(len(FEATURES))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", *FEATURES])
