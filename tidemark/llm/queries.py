@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import corpus_pipeline
 import public_tokenizers
@@ -17,6 +18,7 @@ from tidemark.llm.merkle import fingerprint_report
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mixed
 from tidemark.llm.sharding import shard_report
+from tidemark.llm.shared import ship
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.toxicity import fit_toxicity, toxicity_scores
 
@@ -25,8 +27,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
