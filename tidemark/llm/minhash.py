@@ -30,7 +30,7 @@ SHINGLE = 5
 #: A pair of similarity 0.85 shares no band with probability 3e-7, one of 0.8 with 6e-5.
 BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
-BAND_TILE, SET_TILE = 1024, 256
+BAND_TILE, SET_TILE = 512, 256
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -195,6 +195,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     likely = cut(likely.select(F.col("node").alias("rep"), F.col("component").alias("group")), "likely")
     size = likely.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
     wanted = likely.join(size, "group")
+    # Candidates grow with the corpus: the join is a merge of both sides at every size.
+    wanted = wanted.hint("merge")
     texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("rep", "group", "size", "text")
     held = texts.mapInArrow(_with_sets(shingle), "rep long, group long, size long, shingles binary")
     held = tiled(held, "group", "rep", F.col("size"), SET_TILE).select("group", "tile_a", "tile_b", "rep", "shingles")
