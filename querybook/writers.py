@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import Tables, fresh_folder, query
+from querybook.base import REF, Tables, fresh_folder, query
 from tidemark.sinks import tables as k
+from tidemark.sources import snapshots
 from tidemark.sources import text as x
 from tidemark.streaming.incremental import load_new_snapshots
 
@@ -105,6 +106,18 @@ def sink_append_parquet(t: Tables) -> DataFrame:
     return t.spark.read.parquet(folder)
 
 
+@query(
+    "sink_catalog_asof",
+    f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {DAY} AS partitiondate FROM orders WHERE {DAY} = '2001-01-01'",
+)
+def sink_catalog_asof(t: Tables) -> DataFrame:
+    """The newest snapshot of a catalog table, whose dates come from the metadata alone."""
+    name, folder = _table(t, "dated")
+    k.backfill(_orders(t), name, _year(), location=folder)
+    dates = snapshots.catalog_dates(t.spark, name)
+    return snapshots.snapshot_asof(t.spark.table(name), REF, dates=dates).drop("o_orderdate")
+
+
 @query(
     "stream_incremental_load",
     f"SELECT o_orderkey, o_totalprice, {DAY} AS partitiondate FROM orders",
