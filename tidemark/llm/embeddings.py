@@ -29,7 +29,7 @@ from tidemark.llm.groups import by_group, tiled
 from tidemark.llm.shared import cut
 
 WIDTH = 8
-TILE, CELL_ROWS, STEP = 4096, 16_384, 512
+TILE, CELL_ROWS, STEP = 32_768, 32_768, 512
 _SLACK = 1e-5
 _rotations: dict[int, np.ndarray] = {}
 
