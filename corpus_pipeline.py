@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import Vocabulary, bpe_report
 from tidemark.llm.minhash import without_near_duplicates
-from tidemark.llm.mixing import in_mixed_order
+from tidemark.llm.mixing import in_mixed_order, with_read_position
 from tidemark.llm.shared import shared_folder, ship
 from tidemark.llm.substring_dedup import without_repeats
 from tidemark.llm.toxicity import fit_toxicity, without_toxic
@@ -66,8 +66,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digest of each document's token ids, and the digest of the text decoded."""
-    return bpe_report(docs, Vocabulary.load(public_tokenizers.path(TOKENIZER)))
+    """Number and digest of each document's token ids, the digest of the text decoded, and the
+    document's place in the mix, which is that of its row in the files that ``docs`` is read from."""
+    vocabulary = Vocabulary.load(public_tokenizers.path(TOKENIZER))
+    return bpe_report(with_read_position(docs), vocabulary, "mix_position")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -361,9 +361,10 @@ def decoded(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str =
 REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def bpe_report(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def bpe_report(docs: DataFrame, vocabulary: Vocabulary, place: str | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): number of ids, digest of the ids as
-    little-endian 32-bit integers, digest of the decoded bytes.
+    little-endian 32-bit integers, digest of the decoded bytes, and the column ``place`` of
+    whole numbers if one is named.
 
     A null text is empty and has no ids.  Rows are independent of each other; repeated rows
     give repeated results and an empty table an empty one.
@@ -388,8 +389,11 @@ def bpe_report(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                         pa.array(counts),
                         pa.array(digests, pa.string()),
                         pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                        *[part.column(c) for c in more],
                     ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(report, REPORT)
+    more = [place] if place else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("long").alias(c) for c in more])
+    return rows.mapInArrow(report, ", ".join([REPORT, *[f"`{c}` long" for c in more]]))

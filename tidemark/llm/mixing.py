@@ -204,3 +204,19 @@ def in_mixed_order(docs: DataFrame, weights: dict[str, float], block_rows: int =
     part = F.floor(F.col("mix_position") * n / (rows + 1)).cast("int")
     ordered = placed.repartitionById(n, part).sortWithinPartitions("mix_position")
     return ordered.select(*docs.columns)
+
+
+def with_read_position(docs: DataFrame, name: str = "mix_position") -> DataFrame:
+    """``docs``, a frame just read from files that one write made, with the gapless place of
+    every row in them, however a scan orders and packs the files: rows of earlier files and of
+    earlier lines of its own.  Files go by their number, then by path."""
+    path, line = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    placed = docs.select(*docs.columns, path.alias("_file"), line.alias("_line"))
+    number = F.regexp_extract("_of", r"part-(\d+)[^/]*$", 1).try_cast("long")
+    before = Window.orderBy(number, "_of").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file.
+    sizes = docs.groupBy(path.alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = sizes.select("_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    joined = placed.join(F.broadcast(sizes), F.col("_file") == F.col("_of"))
+    kept = [c for c in docs.columns if c != name]
+    return joined.select(*kept, (F.col("_before") + F.col("_line")).cast("long").alias(name))
