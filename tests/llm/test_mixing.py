@@ -108,3 +108,30 @@ def test_no_python(docs):
 
     plan = final_plan_of(mixed(docs([(1, "a"), (2, "b")]), {"s": 1.0}))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_source_gets_its_own_stream(docs):
+    from tidemark.llm.mixing import own_weights
+
+    given = frame(docs, {"a": 40, "b": 30, "c": 20, "d": 6, None: 4})
+    weights = own_weights(given, {"a": 0.4, "other": 0.6})
+    assert weights == pytest.approx({"a": 0.4, "b": 0.3, "c": 0.2, "d": 0.06, "other": 0.04})
+    assert own_weights(given, {"a": 0.4, "other": 0.6}, most=2) == pytest.approx({"a": 0.4, "b": 0.3, "c": 0.2, "other": 0.1})
+    assert own_weights(docs([]), {"a": 0.4, "other": 0.6}) == {"a": 0.4, "other": 0.6}
+    out = in_mixed_order(given, weights, block_rows=1, places=True)
+    assert set(given.columns) < set(out.columns)
+    rows = out.collect()
+    assert [r.mix_position for r in rows] == list(range(100))
+    # A source whose ids lie together is spread over the mix.
+    assert max(r.mix_position for r in rows if r.source == "b") > 90
+
+
+def test_the_query_lays_out_whole_documents(spark):
+    from tidemark.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{sf}/documents.parquet")
+    out = QUERIES["op4_mixing"](spark, sf).collect()
+    assert len({r.mix_stream for r in out}) == given.select("source").distinct().count()
+    assert [r.mix_position for r in out] == list(range(given.count()))
+    assert {r.doc_id: r.text for r in out} == {r.doc_id: r.text for r in given.collect()}

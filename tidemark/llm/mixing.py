@@ -22,6 +22,8 @@ from tidemark.llm.shared import partitions
 PARTS = 1000
 BLOCK_ROWS = 8
 OTHER = "other"
+#: Sources that get a stream of their own at most, besides those that are named.
+SOURCES = 64
 
 
 def whole_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]:
@@ -193,17 +195,36 @@ def _with_places(df: DataFrame, *values: Column, keep: list[str] | None = None)
     return df.select(*columns, *[v.alias(n) for v, n in zip(values, _PLACES, strict=True)])
 
 
-def in_mixed_order(docs: DataFrame, weights: dict[str, float], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def own_weights(docs: DataFrame, weights: dict[str, float], most: int = SOURCES, source: str = "source") -> dict[str, float]:
+    """``weights`` with the share of ``"other"`` given out to the sources not named, by their
+    rows: each of the ``most`` largest gets its own, the rest and null stay ``"other"``."""
+    named = [s for s in weights if s != OTHER]
+    spare = weights.get(OTHER, 0.0)
+    unnamed = docs.where(F.col(source).isNull() | ~F.col(source).isin(named)) if named else docs
+    counts = unnamed.groupBy(F.col(source).alias("s")).count()
+    all_rows = counts.agg(F.sum("count")).first()[0]
+    if not spare or not all_rows:
+        return dict(weights)
+    largest = counts.where(F.col("s").isNotNull() & (F.col("s") != OTHER)).orderBy(F.desc("count"), "s").limit(most).collect()
+    own = {r["s"]: spare * r["count"] / all_rows for r in largest}
+    rest = all_rows - sum(r["count"] for r in largest)
+    return {**{s: weights[s] for s in named}, **own, **({OTHER: spare * rest / all_rows} if rest else {})}
+
+
+def in_mixed_order(
+    docs: DataFrame, weights: dict[str, float], block_rows: int = BLOCK_ROWS, places: bool = False
+) -> DataFrame:
     """``docs`` with the same rows and columns, laid out in the order of the mix: partitions
-    follow each other by position, and rows within them."""
+    follow each other by position, and rows within them.  With ``places`` the columns of
+    ``mixed`` are kept."""
     placed = mixed(docs, weights, block_rows)
     rows = placed.agg(F.max("mix_position")).first()[0]
     if rows is None:
-        return docs
+        return placed if places else docs
     n = partitions(docs.sparkSession)
     part = F.floor(F.col("mix_position") * n / (rows + 1)).cast("int")
     ordered = placed.repartitionById(n, part).sortWithinPartitions("mix_position")
-    return ordered.select(*docs.columns)
+    return ordered if places else ordered.select(*docs.columns)
 
 
 def with_read_position(docs: DataFrame, name: str = "mix_position") -> DataFrame:

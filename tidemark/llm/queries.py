@@ -16,7 +16,7 @@ from tidemark.llm.embeddings import linked_vectors
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.merkle import fingerprint_report
 from tidemark.llm.minhash import near_duplicates
-from tidemark.llm.mixing import mixed
+from tidemark.llm.mixing import in_mixed_order, own_weights
 from tidemark.llm.sharding import shard_report
 from tidemark.llm.shared import ship
 from tidemark.llm.substring_dedup import remove_repeats
@@ -58,9 +58,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The place of every document in a mix of five streams."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixed(docs, corpus_pipeline.WEIGHTS)
+    """All documents in the order of a mix of a stream for each source, with their places."""
+    docs = table(spark, sf_dir, "documents")
+    return in_mixed_order(docs, own_weights(docs, corpus_pipeline.WEIGHTS), places=True)
 
 
 @query
