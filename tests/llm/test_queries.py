@@ -17,8 +17,9 @@ COLUMNS = {
     "op8_": ["doc_id bigint", "n_words bigint", "n_removed bigint", "kept_sha256 string"],
     "op9_": ["doc_id bigint", "n_shingles bigint", "component_id bigint", "kept boolean"],
     "op10_": ["doc_id bigint", "held_out boolean", "n_tokens bigint", "n_known bigint", "train_tokens bigint", "base_score double", "score double"],
+    "op13_": ["conv_id bigint", "gaps bigint", "blank bigint", "duplicate bigint", "truncated bigint", "illegal bigint", "cost bigint", "audit string", "repaired_sha256 string"],
 }
-TABLE = {"op1_": "embeddings", "op7_": "conversations"}
+TABLE = {"op1_": "embeddings", "op7_": "conversations", "op13_": "conversations"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
@@ -34,11 +35,12 @@ def test_columns_and_whole_tables(spark, prefix):
     kinds = [" ".join(d) for d in out.dtypes]
     assert [c for c in COLUMNS[prefix] if c not in kinds] == []
     table = spark.read.parquet(f"{SF_DIR}/{TABLE.get(prefix, 'documents')}.parquet")
-    if prefix == "op7_":
-        assert out.count() == table.select("conv_id").distinct().count() + 1
+    if prefix in ("op7_", "op13_"):
+        assert out.count() == table.select("conv_id").distinct().count() + (prefix == "op7_")
     else:
         assert out.count() == table.count()
 
 
-def test_ten_operators_and_the_pipeline():
-    assert len(QUERIES) == 11 and "pipeline" in QUERIES
+def test_one_query_per_operator_and_the_pipeline():
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(p[:-1] for p in COLUMNS)}
+    assert len(QUERIES) == 1 + len(COLUMNS)

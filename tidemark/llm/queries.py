@@ -17,6 +17,7 @@ from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.merkle import fingerprint_report
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import in_mixed_order, own_weights
+from tidemark.llm.repair import repair_report
 from tidemark.llm.sharding import shard_report
 from tidemark.llm.shared import ship
 from tidemark.llm.substring_dedup import remove_repeats
@@ -103,6 +104,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 
 
@@ -191,3 +197,78 @@ WITH RECURSIVE words AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM least LEFT JOIN sizes USING (doc_id)
 """
+
+ORACLES["op13_conversation_repair"] = r"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+      [4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+      lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS n_th,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending
+  FROM damaged
+), judged AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN ending = '' THEN 'blank' WHEN n_th > 1 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault
+  FROM placed
+), sums AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), inserts AS (  -- states: 0 nothing said, 1 system, 2 user, 3 assistant
+  SELECT * FROM (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 2, 'I', 'u'), (1, 2, 2, 'I', 'u'), (3, 2, 2, 'I', 'u'), (2, 3, 2, 'I', 'a'), (0, 3, 4, 'II', 'ua'), (1, 3, 4, 'II', 'ua'))
+    t(old, mid, price, ops, said)
+), edits AS (
+  SELECT * FROM (VALUES (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (2, 'K', 'a', 3), (3, 'K', 'u', 2),
+    (0, 'R', 'u', 2), (1, 'R', 'u', 2), (2, 'R', 'a', 3), (3, 'R', 'u', 2), (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3))
+    t(mid, op, becomes, new)
+), names AS (SELECT * FROM (VALUES ('u', 'user'), ('a', 'assistant')) t(letter, name)
+), step(conv_id, i, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': ''} FROM sums
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, e.new, min({
+      'cost': s.best.cost + n.price + CASE e.op WHEN 'K' THEN 0 WHEN 'R' THEN 2 ELSE 3 END + CASE WHEN e.op <> 'D' AND j.fault = 'truncated' THEN 1 ELSE 0 END,
+      'audit': s.best.audit || n.ops || e.op})
+  FROM step s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i + 1
+  JOIN inserts n ON n.old = s.state JOIN edits e ON e.mid = n.mid
+  WHERE e.op = 'D' OR (j.fault NOT IN ('blank', 'duplicate') AND (e.op = 'R' OR e.becomes = j.initial))
+  GROUP BY s.conv_id, s.i + 1, e.new
+), ended AS (
+  SELECT s.conv_id, min({'cost': best.cost + n.price, 'audit': best.audit || n.ops}) AS best
+  FROM step s JOIN sums t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.n = s.i
+  JOIN inserts n ON n.old = s.state WHERE n.mid IN (0, 3) GROUP BY s.conv_id
+), letters AS (
+  SELECT conv_id, best.audit AS audit, unnest(range(1, length(best.audit) + 1)) AS k FROM ended
+), used AS (
+  SELECT conv_id, k, audit[k] AS op, count(*) FILTER (audit[k] <> 'I') OVER w AS i,
+    count(*) FILTER (audit[k] <> 'D') OVER w AS said
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), kept AS (  -- the role follows from the place: a system turn moves it by one
+  SELECT u.*, j.role, j.text, max(CASE WHEN op = 'K' AND j.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY u.conv_id) AS system
+  FROM used u LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM u.conv_id AND j.i = u.i
+  WHERE op <> 'D'
+), texts AS (
+  SELECT conv_id, string_agg(CASE WHEN op = 'K' THEN role ELSE CASE WHEN (said - system) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE WHEN op = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS said
+  FROM kept GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost,
+  coalesce(e.best.audit, '') AS audit, sha256(coalesce(x.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
