@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import Vocabulary, bpe_report
 from tidemark.llm.chat import chat_report
 from tidemark.llm.embeddings import linked_vectors
+from tidemark.llm.licenses import license_report
+from tidemark.llm.licenses import oracle as license_sql
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.merkle import fingerprint_report
 from tidemark.llm.minhash import near_duplicates
@@ -104,6 +106,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(table(spark, sf_dir, "conversations"))
@@ -198,6 +205,8 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM least LEFT JOIN sizes USING (doc_id)
 """
 
+ORACLES["op12_license_scan"] = license_sql()
+
 ORACLES["op13_conversation_repair"] = r"""
 WITH RECURSIVE hashed AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
