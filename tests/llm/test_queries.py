@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_": ["doc_id bigint", "n_words bigint", "n_removed bigint", "kept_sha256 string"],
     "op9_": ["doc_id bigint", "n_shingles bigint", "component_id bigint", "kept boolean"],
     "op10_": ["doc_id bigint", "held_out boolean", "n_tokens bigint", "n_known bigint", "train_tokens bigint", "base_score double", "score double"],
+    "op11_": [f"{c} bigint" for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + ["groups_sha256 string"],
     "op12_": ["doc_id bigint", "n_words bigint", "n_base bigint", "first_word bigint", "last_word bigint", "base_labels string", "labels string", "score double"],
     "op13_": ["conv_id bigint", "gaps bigint", "blank bigint", "duplicate bigint", "truncated bigint", "illegal bigint", "cost bigint", "audit string", "repaired_sha256 string"],
 }

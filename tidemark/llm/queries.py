@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import TokenizerPair, alignment_report
 from tidemark.llm.bpe import Vocabulary, bpe_report
 from tidemark.llm.chat import chat_report
 from tidemark.llm.embeddings import linked_vectors
@@ -106,6 +107,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = TokenizerPair.load(*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    return alignment_report(table(spark, sf_dir, "documents"), pair)
+
+
 @query
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
