@@ -173,70 +173,58 @@ class ToxicityModel:
     base_rate: float
 
 
-def _features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+def _features(docs: DataFrame, lexicon: Lexicon, *more: str) -> DataFrame:
+    """doc_id, columns of whole numbers named, and the features of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    kept = ["doc_id", *more]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.sliced(batch, budget=2 * T.SLICE_BYTES):
+            for part in T.sliced(batch):
                 matrix = feature_matrix(part.column("text"), shared.value)
                 columns = [pa.array(matrix[:, i]) for i in range(len(FEATURES))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", *FEATURES])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *columns], names=[*kept, *FEATURES])
 
-    schema = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(features, schema)
+    schema = ", ".join([*[f"{c} long" for c in kept], *[f"{f} double" for f in FEATURES]])
+    return docs.select(*[F.col(c).cast("long").alias(c) for c in kept], "text").mapInArrow(features, schema)
 
 
-def _chosen(labels: DataFrame, labelled: int) -> dict[int, int]:
-    """doc_id and label of the texts to learn from; a doc_id with both labels is left out."""
-    rows = (
+def _labelled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """(doc_id, label, text) of the texts to learn from, at most ``labelled`` ids, which
+    bounds what is broadcast; an id with both labels is left out."""
+    chosen = (
         labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
-        .groupBy("doc_id")
-        .agg(F.min("toxic").alias("least"), F.max("toxic").alias("most"))
-        .where("least = most")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min("toxic").cast("int").alias("label"), F.max("toxic").alias("most"))
+        .where("label = most")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(labelled)
-        .select(F.col("doc_id").cast("long"), F.col("least").cast("int"))
-        .toArrow()
+        .select("doc_id", "label")
     )
-    return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
-
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
-def _learned_lexicon(docs: DataFrame, chosen: dict[int, int], learned: int) -> Lexicon:
-    """Words and beginnings that stand in many more toxic than other labelled texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(chosen)
 
-    def stems_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean, known = Counter(), Counter(), {}
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                label = shared.value.get(doc_id)
-                if label is None or not text:
-                    continue
-                mine = set()
-                for word in set(text.split()):
-                    if word not in known:
-                        known[word] = stems(plain(word)) if len(known) < 500_000 else None
-                    mine.update(known[word] or stems(plain(word)))
+def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and clean texts of a slice have each word and beginning."""
+    for batch in batches:
+        for part in T.sliced(batch):
+            toxic, clean = Counter(), Counter()
+            for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
+                mine = {s for word in set((text or "").split()) for s in stems(plain(word)) if len(s) > 3}
                 (toxic if label else clean).update(mine)
-        names = [s for s in toxic if len(s) > 3]
-        others = [s for s in clean if len(s) > 3 and s not in toxic]
-        every = names + others
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(every, pa.string()),
-                pa.array([toxic[s] for s in every], pa.int64()),
-                pa.array([clean[s] for s in every], pa.int64()),
-            ],
-            names=["stem", "toxic", "clean"],
-        )
-
-    n = Counter(chosen.values())
-    bad, good = max(n[1], 1), max(n[0], 1)
+            every = [*toxic, *(s for s in clean if s not in toxic)]
+            counts = [pa.array([c[s] for s in every], pa.int64()) for c in (toxic, clean)]
+            yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), *counts], names=["stem", "toxic", "clean"])
+
+
+def _learned_lexicon(texts: DataFrame, learned: int) -> Lexicon:
+    """Words and beginnings that stand in many more toxic than other labelled texts."""
+    n = {r["label"]: r["count"] for r in texts.select("doc_id", "label").distinct().groupBy("label").count().collect()}
+    bad, good = max(n.get(1, 0), 1), max(n.get(0, 0), 1)
     odds = F.log((F.col("toxic") + 0.5) / (bad + 1)) - F.log((F.col("clean") + 0.5) / (good + 1))
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(stems_of, "stem string, toxic long, clean long")
+        texts.select("label", "text")
+        .mapInArrow(_stems, "stem string, toxic long, clean long")
         .groupBy("stem")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where((F.col("toxic") >= max(3, bad // 400)) & (F.col("toxic") > 3 * F.col("clean")))
@@ -252,22 +240,14 @@ def _learned_lexicon(docs: DataFrame, chosen: dict[int, int], learned: int) -> L
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, learned: int = LEARNED) -> ToxicityModel:
     """Learns from the labels (doc_id, toxic) of at most ``labelled`` texts that are not held
-    out.  Without texts of both labels the score is the rate of toxic ones."""
-    chosen = _chosen(labels, labelled)
-    lexicon = _learned_lexicon(docs, chosen, learned)
-    shared = docs.sparkSession.sparkContext.broadcast(chosen)
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            label = [shared.value.get(i) for i in batch.column("doc_id").to_pylist()]
-            keep = pa.array([x is not None for x in label])
-            yield batch.filter(keep)
+    out.  Without texts of both labels the score is the rate of toxic ones.
 
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pick, "doc_id long, text string")
-    known = docs.sparkSession.createDataFrame(
-        pa.table({"doc_id": pa.array(list(chosen), pa.int64()), "label": pa.array(list(chosen.values()), pa.float64())})
-    )
-    table = cut(_features(some, lexicon).join(known, "doc_id").repartition(8), "toxicity")
+    The labelled texts are picked in one pass over all texts and written to the shared
+    folder; lexicon and features are taken from there.
+    """
+    texts = cut(_labelled(docs, labels, labelled), "labelled")
+    lexicon = _learned_lexicon(texts, learned)
+    table = cut(_features(texts, lexicon, "label").withColumn("label", F.col("label").cast("double")).repartition(8, "doc_id"), "toxicity")
     rates = table.agg(F.avg("label"), F.count(F.lit(1))).first()
     base = rates[0] or 0.0
     if base in (0.0, 1.0):
