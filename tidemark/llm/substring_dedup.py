@@ -8,7 +8,7 @@ corpus; neighbouring repeated windows join to maximal exact repeats, and all wor
 repeat covers are removed at every place but the first.
 
 Probes and windows are 64-bit hashes, compared inside a bucket chosen by a second,
-independent hash, so that the bits grow with the data.  Both comparisons exchange one
+hash of its own words' hashes, so that the bits grow with the data.  Both comparisons exchange one
 packed row per block and bucket (see ``blocks``), whatever the number of copies: a passage
 that a third of all documents share is one value per block.
 """
@@ -40,15 +40,17 @@ class _BlockWords:
     """The words of the texts of one block; texts shorter than a window have no hashes."""
 
     def __init__(self, rows: pa.Table) -> None:
-        hashes, counts = [], []
+        hashes, others, counts = [], [], []
         for part in T.sliced(rows):
             buf, off = T.text_bytes(part.column("text"))
             starts, stops, n = T.word_bounds(buf, off)
             hashes.append(T.word_hashes(buf, starts, stops))
+            others.append(T.word_hashes(buf, starts, stops, seed=1))
             counts.append(n)
         none = np.zeros(0, np.int64)
         self.counts = np.concatenate(counts) if counts else none
         self.hashes = np.concatenate(hashes) if hashes else none.astype(np.uint64)
+        self.others = np.concatenate(others) if others else none.astype(np.uint64)
         self.firsts = np.cumsum(self.counts) - self.counts
 
     def windows(self, k: int, buckets: int, within: np.ndarray | None = None):
@@ -57,7 +59,7 @@ class _BlockWords:
         if within is not None:
             starts = starts[within[starts]]
         value = T.window_hashes(self.hashes, starts, k)
-        second = T.window_hashes(self.hashes, starts, k, salt=_SECOND)
+        second = T.window_hashes(self.others, starts, k, salt=_SECOND)
         return starts, value, ((second >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 

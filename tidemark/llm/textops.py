@@ -6,6 +6,7 @@ feed and carriage return.  All functions work on whole batches of texts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,29 +22,7 @@ _IS_WORD[list(SEPARATORS)] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 1
-_WORD_BASE = 0xC2B2AE3D27D4EB4F | 1
-_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=np.uint64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    """``base ** i`` modulo 2**64 for ``i < n``; grown by doubling and kept."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.ones(size, dtype=np.uint64)
-        filled = 1
-        factor = np.uint64(base)
-        with np.errstate(over="ignore"):
-            while filled < size:
-                take = min(filled, size - filled)
-                have[filled : filled + take] = have[:take] * factor
-                factor = factor * factor
-                filled += take
-        if n <= 1 << 23:
-            _powers[base] = have
-    return have[:n]
+_SEED, _STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -87,6 +66,20 @@ def sliced(table, text: str = "text", budget: int = SLICE_BYTES) -> Iterator:
         at, base = to, int(ends[to - 1])
 
 
+_ALONE = re.compile(r"\S (?=\S)")
+
+
+def text_parts(text: str, size: int = SLICE_BYTES) -> Iterator[str]:
+    """A long text in parts of about ``size`` characters that begin with a single space
+    between other characters; a longer run without one is not parted."""
+    at = 0
+    while at < len(text):
+        found = _ALONE.search(text, at + size)
+        to = found.start() + 1 if found else len(text)
+        yield text[at:to]
+        at = to
+
+
 def lower(buf: np.ndarray) -> np.ndarray:
     """A-Z to a-z; other bytes as they are."""
     return _LOWER[buf]
@@ -109,14 +102,41 @@ def word_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, stops, counts
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word, the same wherever the word stands."""
-    n = len(buf)
+def _scrambled(values: np.ndarray, places: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit value for every (value below 256, place)."""
     with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[buf] * _power_table(_BYTE_BASE, n), out=total[1:])
-        inverse = _power_table(pow(_BYTE_BASE, -1, 1 << 64), n + 1)
-        return mix((total[stops] - total[starts]) * inverse[starts])
+        return mix((places.astype(np.uint64) << np.uint64(8) | values) + np.uint64(seed * _SEED & 2**64 - 1))
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word, the same wherever the word stands; words do not overlap.
+
+    It is a sum of scrambled (byte, place in the word), so that words of like structure have
+    unlike hashes.  Hashes of different seeds are independent.
+    """
+    parts, i = [], 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(starts, low + SLICE_BYTES)))
+        some = buf[low : stops[j - 1]]
+        begin, end = starts[i:j] - low, stops[i:j] - low
+        first = np.zeros(len(some), np.int64)
+        first[begin] = begin
+        total = np.zeros(len(some) + 1, dtype=np.uint64)
+        places = np.arange(len(some)) - np.maximum.accumulate(first)
+        with np.errstate(over="ignore"):
+            np.cumsum(_scrambled(some, places, seed), out=total[1:])
+            parts.append(mix(total[end] - total[begin]))
+        i = j
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def prefix_hashes(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of what stands before every value back to its first, not with itself."""
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(_scrambled(values, np.arange(len(values)) - firsts, 0), out=total[1:])
+        return mix(total[:-1] - total[firsts])
 
 
 def window_starts(counts: np.ndarray, k: int) -> np.ndarray:
@@ -128,12 +148,20 @@ def window_starts(counts: np.ndarray, k: int) -> np.ndarray:
     return np.arange(total) - before + np.repeat(firsts, windows)
 
 
-def window_hashes(hashes: np.ndarray, starts: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
-    """A 64-bit hash of the ``k`` words from each start."""
-    n = len(hashes)
+def _joined(hashes: np.ndarray, at: np.ndarray, n: int, step: int, salt: int) -> np.ndarray:
+    """Sums of scramblings of ``n`` hashes from each place on, ``step`` apart; which of them
+    a hash is counts."""
     with np.errstate(over="ignore"):
-        values = mix(hashes + np.uint64(salt)) if salt else hashes
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(values * _power_table(_WORD_BASE, n), out=total[1:])
-        inverse = _power_table(pow(_WORD_BASE, -1, 1 << 64), n + 1)
-        return mix((total[starts + k] - total[starts]) * inverse[starts])
+        total = np.zeros(len(at), dtype=np.uint64)
+        for j in range(n):
+            total += mix(hashes[at + j * step] + np.uint64((j + 1) * _STEP + salt & 2**64 - 1))
+        return mix(total)
+
+
+def window_hashes(hashes: np.ndarray, starts: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of the ``k`` words from each start; of long windows through the hashes
+    of shorter ones."""
+    part = next((d for d in (5, 4, 3, 2) if k > 6 and k % d == 0), 1)
+    if part > 1 and len(hashes) >= part:
+        hashes = _joined(hashes, np.arange(len(hashes) - part + 1), part, 1, salt)
+    return _joined(hashes, starts, k // part, part, salt)
