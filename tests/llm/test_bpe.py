@@ -71,3 +71,51 @@ def test_decoding_keeps_invalid_sequences(vocabulary):
 
     ids = np.array([vocabulary.ranks[b"\xe6"], vocabulary.ranks[b"\x00"]], dtype=np.int32)
     assert Encoder(vocabulary).decode(ids, np.array([1, 0, 1])) == [b"\xe6", b"", b"\x00"]
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n)), "".join("ba"[bin(i).count("1") % 2] for i in range(n))
+
+
+def long_pieces():
+    rng = random.Random(12)
+    letters = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(rng.choices(of, k=n))
+    periodic = "abcde" * 3_000 + letters(500) + "xyz" * 4_000
+    return [
+        letters(20_000), letters(300_000), "a" * 1_000_000, " " * 250_000, "x" * 777 + letters(300, "ACGT") + "x" * 3_331,
+        periodic, letters(30_000, "ACGT"), letters(20_000, "日本語東京"), "=" * 50_001, *thue_morse(1024), *thue_morse(2048),
+        *(letters(n) for n in (191, 192, 193, 319, 320, 321, 385)),
+    ]
+
+
+def test_long_pieces(vocabulary, reference):
+    import pyarrow as pa
+
+    for text in long_pieces():
+        (ids,) = encode_ids(pa.array([text]), vocabulary)
+        assert ids.tolist() == reference.encode_ordinary(text), (len(text), text[:20])
+
+
+def test_pieces_of_one_hash_are_told_apart(vocabulary, reference, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import textops as T
+
+    true = T.word_hashes
+    same = lambda buf, a, b, seed=0: true(buf, a, b, seed) if seed else np.minimum(true(buf, a, b), np.uint64(2**55))
+    monkeypatch.setattr(T, "word_hashes", same)
+    encoder, text = Encoder(vocabulary), "these words all have one hash"
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == reference.encode_ordinary(text) and encoder.seed == 1
+
+
+def test_very_long_text_in_parts(docs, vocabulary, reference):
+    rng = random.Random(4)
+    words = ["the", "of", "é", "x's", "12", "\n", "  ", ".", "日本"]
+    text = " ".join(rng.choices(words, k=1_400_000)) + "z" * 5_000
+    assert len(text.encode()) > 4 << 20
+    ids = reference.encode_ordinary(text)
+    row = bpe_report(docs([(1, text)]), vocabulary).first()
+    digest = hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+    assert tuple(row) == (1, len(ids), digest, hashlib.sha256(text.encode()).hexdigest())

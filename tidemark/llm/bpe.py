@@ -6,6 +6,11 @@ neighbouring tokens with the merge table, finds the lowest rank of each piece, a
 contracts that pair from the left wherever it occurs in the piece; rows that no pair
 matches any more leave the recursion.  Decoding is a join with the vocabulary and an
 aggregation ordered by position.
+
+A long piece is merged in overlapping windows, which are pieces of their own to the query.
+Tokens are those of the whole if every two neighbours are what their bytes alone merge to,
+so two windows are joined where both begin the same token; where they nowhere do, they
+become one window.
 """
 
 from __future__ import annotations
@@ -25,41 +30,43 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textops as T
 
-# Pieces given to one recursive query, ids given to one decoding query, and pieces kept by
-# a worker: they bound memory and change no result.
-PIECES, IDS, KEPT_PIECES = 60_000, 1_500_000, 1_500_000
+# Pieces and their bytes given to one recursive query, ids given to one decoding query, and
+# pieces and their bytes kept by a worker: they bound memory and change no result.
+PIECES, PIECE_BYTES, IDS, KEPT_PIECES, KEPT_BYTES = 60_000, 1_000_000, 1_500_000, 1_500_000, 1 << 26
+#: Windows of a long piece.  Powers of two, as runs of one character merge to such tokens.
+WINDOW, STRIDE = 192, 128
 _SHIFT = 20
 
+# A recursive table keeps the present token of every place; a round sends only the places it
+# changes, a contracted pair's second one as -1.
 ENCODE = f"""
-WITH RECURSIVE step(piece, place, id, len, round) AS (
-  SELECT piece, place, id, 1, 0 FROM start
-  UNION ALL (
-    WITH pairs AS MATERIALIZED (
+WITH RECURSIVE step(place, piece, id, len) USING KEY (place) AS (
+  SELECT place, piece, id, 1 FROM start
+  UNION (
+    WITH live AS MATERIALIZED (
+      SELECT r.* FROM recurring.step r SEMI JOIN step s ON s.piece = r.piece WHERE r.id >= 0
+    ), pairs AS MATERIALIZED (
       SELECT a.piece, a.place, m.id, m.len, m.left_len, m.twin
-      FROM step a JOIN step b ON b.place = a.place + a.len
+      FROM live a JOIN live b ON b.place = a.place + a.len
       JOIN merges m ON m.pair = (a.id::BIGINT << {_SHIFT}) | b.id
     ), best AS MATERIALIZED (
       SELECT piece, min(id) AS id FROM pairs GROUP BY piece
     ), found AS MATERIALIZED (
       SELECT p.* FROM pairs p JOIN best b ON b.piece = p.piece AND b.id = p.id
     ), taken AS MATERIALIZED (
-      SELECT place, id, len, left_len FROM found WHERE NOT twin
+      SELECT piece, place, id, len, left_len FROM found WHERE NOT twin
       UNION ALL  -- a run of one token: its first and second, third and fourth, ...
-      SELECT place, id, len, left_len
+      SELECT piece, place, id, len, left_len
       FROM (SELECT *, (place - min(place) OVER (PARTITION BY piece, run)) // left_len % 2 = 0 AS even
             FROM (SELECT *, place - left_len * row_number() OVER (PARTITION BY piece ORDER BY place) AS run
                   FROM found WHERE twin))
       WHERE even
     )
-    SELECT s.piece, s.place, coalesce(t.id, s.id), coalesce(t.len, s.len), s.round + 1
-    FROM step s SEMI JOIN best ON best.piece = s.piece
-    LEFT JOIN taken t ON t.place = s.place
-    ANTI JOIN (SELECT place + left_len AS place FROM taken) gone ON gone.place = s.place
+    SELECT place, piece, id, len FROM taken
+    UNION ALL SELECT place + left_len, piece, -1, 0 FROM taken
   )
 )
-SELECT piece, id
-FROM (SELECT piece, place, id, round, max(round) OVER (PARTITION BY piece) AS last FROM step)
-WHERE round = last ORDER BY place
+SELECT piece, id FROM step WHERE id >= 0 ORDER BY place
 """
 
 DECODE = """
@@ -94,6 +101,10 @@ class Vocabulary:
     def ranks(self) -> dict[bytes, int]:
         return {t: i for i, t in enumerate(self.tokens)}
 
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.array([len(t) for t in self.tokens], np.int64)
+
     @cached_property
     def connection(self) -> duckdb.DuckDBPyConnection:
         """An in-memory database of one thread with the merge table and the vocabulary."""
@@ -187,57 +198,108 @@ def piece_starts(points: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Pieces met so far, by hash, with their ids; bounded by ``KEPT_PIECES``."""
+    """Pieces met so far, by hash, with their bytes and ids; bounded by ``KEPT_PIECES`` and
+    ``KEPT_BYTES``."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.bytes = np.zeros(256, dtype=np.int32)
         for i in range(256):
             self.bytes[i] = vocabulary.ranks[bytes([i])]
+        self.seed = 0
         self.forget()
 
     def forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
-        self.place = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        # Per piece: where its ids begin and how many, where its bytes begin and how many.
+        self.spots = np.zeros((4, 0), np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.held = np.zeros(0, np.uint8)
+
+    def _query(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each piece) by the recursive query."""
+        sizes = np.array([len(p) for p in pieces])
+        flat = self.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        # A free place between pieces keeps them apart.
+        start = pa.table({"piece": piece, "place": np.arange(len(flat), dtype=np.int64) + piece, "id": flat})
+        con = self.vocabulary.connection
+        con.register("start", start)
+        found = con.sql(ENCODE).to_arrow_table()
+        con.unregister("start")
+        owner = found.column("piece").to_numpy()
+        order = np.argsort(owner, kind="stable")
+        return found.column("id").to_numpy()[order], np.bincount(owner, minlength=len(pieces))
+
+    def _by_parts(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of every piece, in queries of bounded size."""
+        out, at = [], 0
+        while at < len(pieces):
+            to, size = at, 0
+            while to < len(pieces) and to - at < PIECES and (to == at or size + len(pieces[to]) <= PIECE_BYTES):
+                size += len(pieces[to])
+                to += 1
+            ids, counts = self._query(pieces[at:to])
+            out += np.split(ids, np.cumsum(counts)[:-1])
+            at = to
+        return out
+
+    def _ends(self, ids: np.ndarray) -> np.ndarray:
+        return np.cumsum(self.vocabulary.lengths[ids])
+
+    def _windowed(self, piece: bytes) -> np.ndarray:
+        """The ids of a long piece."""
+        n = len(piece)
+        lows = list(range(0, max(n - WINDOW, 0) + STRIDE, STRIDE))
+        spans = [(a, min(a + WINDOW, n)) for a in lows if a == 0 or a + WINDOW - STRIDE < n]
+        known: dict[tuple[int, int], np.ndarray] = {}
+        while True:
+            new = [x for x in spans if x not in known]
+            known |= zip(new, self._by_parts([piece[a:b] for a, b in new]), strict=True)
+            joined, apart, from_ = [], [], 0
+            for i, (span, after) in enumerate(zip(spans, [*spans[1:], None], strict=True)):
+                ids = known[span]
+                ends = span[0] + self._ends(ids)
+                to = n
+                if after:
+                    starts = np.append(span[0], ends[:-1])
+                    others = after[0] + self._ends(known[after])
+                    mine = starts << 32 | ends
+                    same = np.isin(mine, np.append(after[0], others[:-1]) << 32 | others)
+                    meets = starts[same & (starts >= from_)]
+                    if not len(meets):
+                        apart.append(i)
+                        from_ = after[0]
+                        continue
+                    to = int(meets[len(meets) // 2])
+                joined.append(ids[(ends > from_) & (ends <= to)])
+                from_ = to
+            if not apart:
+                return np.concatenate(joined)
+            spans = _merged_spans(spans, set(apart))
 
     def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each piece)."""
-        ranks, parts, lengths = self.vocabulary.ranks, [], []
-        for i in range(0, len(pieces), PIECES):
-            some = pieces[i : i + PIECES]
-            whole = np.array([ranks.get(p, -1) for p in some], dtype=np.int64)
-            sizes = np.array([len(p) for p in some])
-            flat = self.bytes[np.frombuffer(b"".join(some), np.uint8)]
-            piece = np.repeat(np.arange(len(some), dtype=np.int32), sizes)
-            # A free place between pieces keeps them apart.
-            at = np.arange(len(flat), dtype=np.int64) + piece
-            todo = np.repeat(whole < 0, sizes)
-            start = pa.table({"piece": piece[todo], "place": at[todo], "id": flat[todo]})
-            con = self.vocabulary.connection
-            con.register("start", start)
-            found = con.sql(ENCODE).to_arrow_table()
-            con.unregister("start")
-            known = np.flatnonzero(whole >= 0)
-            owner = np.concatenate([found.column("piece").to_numpy(), known])
-            ids = np.concatenate([found.column("id").to_numpy(), whole[known]])
-            order = np.argsort(owner, kind="stable")
-            parts.append(ids[order].astype(np.int32))
-            lengths.append(np.bincount(owner, minlength=len(some)))
-        return np.concatenate(parts), np.concatenate(lengths)
+        ranks = self.vocabulary.ranks
+        out = [np.array([ranks[p]], np.int32) if p in ranks else None for p in pieces]
+        short = [i for i, p in enumerate(pieces) if out[i] is None and len(p) <= WINDOW]
+        for i, ids in zip(short, self._by_parts([pieces[i] for i in short]), strict=True):
+            out[i] = ids
+        for i, p in enumerate(pieces):
+            if out[i] is None:
+                out[i] = self._windowed(p)
+        return np.concatenate(out).astype(np.int32), np.array([len(x) for x in out])
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        if len(self.hashes) + len(hashes) > KEPT_PIECES:
-            self.forget()
-        ids, lengths = self.merged(pieces)
-        place = len(self.ids) + np.cumsum(lengths) - lengths
+        ids, counts = self.merged(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        spots = [len(self.ids) + np.cumsum(counts) - counts, counts, len(self.held) + np.cumsum(sizes) - sizes, sizes]
         every = np.concatenate([self.hashes, hashes])
         order = np.argsort(every)
         self.hashes = every[order]
-        self.place = np.concatenate([self.place, place])[order]
-        self.length = np.concatenate([self.length, lengths])[order]
+        self.spots = np.concatenate([self.spots, spots], axis=1)[:, order]
         self.ids = np.concatenate([self.ids, ids])
+        self.held = np.concatenate([self.held, np.frombuffer(b"".join(pieces), np.uint8)])
 
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -250,29 +312,38 @@ class Encoder:
         end = np.append(begin[1:], len(buf))
         if len(begin) == 0:
             return np.zeros(0, np.int32), np.zeros(len(off) - 1, np.int64)
-        hashes = T.word_hashes(buf, begin, end)
-        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        spot = np.searchsorted(self.hashes, distinct)
-        new = np.ones(len(distinct), dtype=bool)
-        if len(self.hashes):
-            new = self.hashes[np.minimum(spot, len(self.hashes) - 1)] != distinct
-        if new.any():
-            size = len(self.hashes)
-            fill = new if size + int(new.sum()) <= KEPT_PIECES else np.ones(len(new), dtype=bool)
-            if not np.array_equal(fill, new):
-                self.forget()
-            raw = buf.tobytes()
-            pieces = [raw[begin[i] : end[i]] for i in index[fill]]
-            self.learn(distinct[fill], pieces)
-            spot = np.searchsorted(self.hashes, distinct)
-        length = self.length[spot][inverse]
-        place = self.place[spot][inverse]
+        found = self._found(buf, begin, end)
+        while found is None:  # two pieces had one hash
+            self.seed += 1
+            self.forget()
+            found = self._found(buf, begin, end)
+        place, length = found
         total = np.cumsum(length)
         ids = self.ids[np.arange(int(total[-1])) - np.repeat(total - length - place, length)]
         piece_text = np.searchsorted(off, begin, side="right") - 1
         counts = np.bincount(piece_text, weights=length, minlength=len(off) - 1)
         return ids, counts.astype(np.int64)
 
+    def _found(self, buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(where the ids of every piece begin, how many), learning pieces not met; none if
+        a piece has not the bytes that its hash stands for."""
+        hashes = T.word_hashes(buf, begin, end, self.seed)
+        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        if new.any():
+            grown = len(self.held) + int((end - begin)[index[new]].sum())
+            if len(self.hashes) + int(new.sum()) > KEPT_PIECES or grown > KEPT_BYTES:
+                self.forget()
+                new[:] = True
+            raw = buf.tobytes()
+            self.learn(distinct[new], [raw[begin[i] : end[i]] for i in index[new]])
+        place, length, start, size = self.spots[:, np.searchsorted(self.hashes, distinct)][:, inverse]
+        if not np.array_equal(size, end - begin):
+            return None
+        if not np.array_equal(self.held[np.repeat(start - begin, size) + np.arange(len(buf))], buf):
+            return None
+        return place, length
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of every text."""
         out = [b""] * len(counts)
@@ -299,6 +370,19 @@ class Encoder:
         return out
 
 
+def _merged_spans(spans: list[tuple[int, int]], apart: set[int]) -> list[tuple[int, int]]:
+    """Windows that nowhere meet the next become one with it."""
+    out, i = [], 0
+    while i < len(spans):
+        if i in apart:
+            out.append((spans[i][0], spans[i + 1][1]))
+            i += 2
+        else:
+            out.append(spans[i])
+            i += 1
+    return out
+
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -358,6 +442,21 @@ def decoded(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str =
     return df.withColumn(name, decode(ids))
 
 
+#: Bytes of a text that is worked through in parts; changes no result.
+LONG_TEXT = 2 * T.SLICE_BYTES
+
+
+def _long_report(encoder: Encoder, text: str) -> tuple[int, str, str]:
+    """The report on one long text, part by part."""
+    n, ids_digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
+    for part in T.text_parts(text):
+        ids, counts = encoder.encode(pa.array([part]))
+        n += len(ids)
+        ids_digest.update(ids.astype("<u4").tobytes())
+        text_digest.update(encoder.decode(ids, counts)[0])
+    return n, ids_digest.hexdigest(), text_digest.hexdigest()
+
+
 REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -375,6 +474,11 @@ def bpe_report(docs: DataFrame, vocabulary: Vocabulary, place: str | None = None
         for batch in batches:
             for part in T.sliced(batch):
                 encoder = _encoder(shared.value)
+                if part.column("text").nbytes > LONG_TEXT and part.num_rows == 1:
+                    found = _long_report(encoder, part.column("text")[0].as_py())
+                    columns = [pa.array([x]) for x in found]
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns, *[part.column(c) for c in more]], names=names)
+                    continue
                 ids, counts = encoder.encode(part.column("text"))
                 texts = encoder.decode(ids, counts)
                 raw = ids.astype("<u4").tobytes()
@@ -391,9 +495,10 @@ def bpe_report(docs: DataFrame, vocabulary: Vocabulary, place: str | None = None
                         pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
                         *[part.column(c) for c in more],
                     ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more],
+                    names=names,
                 )
 
     more = [place] if place else []
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("long").alias(c) for c in more])
     return rows.mapInArrow(report, ", ".join([REPORT, *[f"`{c}` long" for c in more]]))
