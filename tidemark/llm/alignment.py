@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,14 @@ from pyspark.sql import functions as F
 from tidemark.llm import textops as T
 from tidemark.llm.shared import cut, partitions
 
-#: A text of more bytes is cut into ranges; texts of a block; fragments composed at once.
-#: They bound a task's memory and change no result.
+#: A text of more bytes is cut into ranges; texts of a block; fragments composed at once; runs
+#: of text kept by a worker.  They bound a task's memory and change no result.
 RANGE_BYTES, BLOCK_BYTES, FAN = 1 << 16, 8 << 20, 16
+KEPT_RUNS, KEPT_CHARS = 300_000, 1 << 24
 _SHIFT = 16  # a pair of ids is one number
 _MARK = "▁"
+#: A single space between other characters: both tokenizers begin anew there.
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 @dataclass(frozen=True)
@@ -109,33 +114,80 @@ class TokenizerPair:
         size = max(len(self.a_bytes), len(self.b_bytes))
         return tuple(np.array([f"{i}{mark}" for i in range(size)], object) for mark in ",|;")
 
+    @cached_property
+    def runs(self) -> _Runs:
+        return _Runs(self)
+
     def tokens(self, units: list[bytes]) -> tuple[Tokens, np.ndarray]:
         """(tokens of all units one after the other, which units both tokenizers give back
         byte by byte); units begin with a space and others have no tokens."""
-        texts = [u.decode() for u in units]
-        flat = [
-            _flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]),
-            _flat(self.b.encode([t[1:] for t in texts], num_threads=1)),
-        ]
-        size = np.array([len(u) for u in units], np.int64)
-        good = np.ones(len(units), bool)
-        for (ids, counts), table, width in zip(flat, (self.a_bytes, self.b_bytes), self.widths, strict=True):
-            owner = np.repeat(np.arange(len(units)), counts)
-            good &= np.bincount(owner, width[ids], len(units)).astype(np.int64) == size
-            if b"".join(map(table.__getitem__, ids.tolist())) != b"".join(units):
-                at = np.concatenate([[0], np.cumsum(counts)])
-                for i in np.flatnonzero(good):
-                    good[i] = b"".join(map(table.__getitem__, ids[at[i] : at[i + 1]].tolist())) == units[i]
+        texts = [u.decode()[1:] for u in units]
+        parts = [_SPACE.split(t) if self.cuttable else [t] for t in texts]
+        place = self.runs.places(parts)
+        owner = np.repeat(np.arange(len(units)), [len(x) for x in parts])
+        good = np.bincount(owner, ~self.runs.good[place], len(units)) == 0
+        place = place[good[owner]]
         out = []
-        for (ids, counts), width in zip(flat, self.widths, strict=True):
-            ids = ids[np.repeat(good, counts)]
+        for side, width in enumerate(self.widths):
+            ids = self.runs.ids_at(place, side)
             out += [ids, np.cumsum(width[ids])]
         return Tokens(*out), good
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum())), counts
+class _Runs:
+    """Runs of text between single spaces that a worker has met, with their ids: each is
+    tokenized once.  Beyond ``KEPT_RUNS`` all are forgotten."""
+
+    def __init__(self, pair: TokenizerPair) -> None:
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.chars = 0
+        self.good = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.ends = [np.zeros(1, np.int64)] * 2
+
+    def places(self, parts: list[list[str]]) -> np.ndarray:
+        """The number of every run, learning new ones."""
+        if len(self.index) > KEPT_RUNS or self.chars > KEPT_CHARS:
+            self.forget()
+        index, known = self.index, len(self.index)
+        place = np.fromiter((index.setdefault(x, len(index)) for p in parts for x in p), np.int64, sum(map(len, parts)))
+        if len(index) > known:
+            self.learn(list(islice(index, known, None)))
+        return place
+
+    def learn(self, runs: list[str]) -> None:
+        a, b, said = self.pair.a, self.pair.b, [" " + x for x in runs]
+        self.chars += sum(map(len, said))
+        found = [[e.ids for e in a.encode_batch_fast(said, add_special_tokens=False)], b.encode(runs, num_threads=1)]
+        raw, good = [x.encode() for x in said], np.ones(len(said), bool)
+        for side, (lists, table) in enumerate(zip(found, (self.pair.a_bytes, self.pair.b_bytes), strict=True)):
+            joined = [b"".join([table[i] for i in x]) for x in lists]
+            good &= np.array([x == y for x, y in zip(joined, raw, strict=True)])
+            counts = np.array([len(x) for x in lists], np.int64)
+            flat = np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum()))
+            self.ids[side] = np.concatenate([self.ids[side], flat])
+            self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum(counts)])
+        self.good = np.concatenate([self.good, good])
+
+    def ids_at(self, place: np.ndarray, side: int) -> np.ndarray:
+        """The ids of runs one after the other."""
+        begins = self.ends[side][place]
+        counts = self.ends[side][place + 1] - begins
+        ends = np.cumsum(counts)
+        return self.ids[side][np.arange(int(counts.sum())) + np.repeat(begins - ends + counts, counts)].astype(np.int64)
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all values of two ascending arrays, which of them both have)."""
+    every = np.sort(np.concatenate([a, b]), kind="stable")
+    again = np.zeros(len(every), bool)
+    again[1:] = every[1:] == every[:-1]
+    both = np.append(again[1:], False)[~again]
+    return every[~again], both
 
 
 @dataclass(frozen=True)
@@ -164,12 +216,13 @@ class Tokens:
         return self.a, self.a_end, self.b, self.b_end
 
     def common(self) -> np.ndarray:
-        return np.intersect1d(self.a_end, self.b_end, assume_unique=True)
+        ends, both = _merged(self.a_end, self.b_end)
+        return ends[both]
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """(end, pair of ids) of every stretch without an end of a token inside: each pair of
         overlapping tokens shares exactly one."""
-        ends = np.union1d(self.a_end, self.b_end)
+        ends, _ = _merged(self.a_end, self.b_end)
         a = self.a[np.searchsorted(self.a_end, ends)]
         return ends, a << _SHIFT | self.b[np.searchsorted(self.b_end, ends)]
 
@@ -285,7 +338,9 @@ def _per_document(tokens: Tokens, size: np.ndarray, pair: TokenizerPair) -> tupl
     digests = []
     for i, j in zip(stop - counts[0] - counts[1], stop, strict=True):
         digests.append(hashlib.sha256("".join(names[i:j].tolist())[:-1].encode()).hexdigest())
-    keys, times = np.unique(of(link_end) << 32 | codes, return_counts=True)
+    keys = np.sort(of(link_end) << 32 | codes)
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    keys, times = keys[new], np.diff(new, append=len(keys))
     return counts, digests, (keys >> 32, keys & 0xFFFFFFFF, times)
 
 
