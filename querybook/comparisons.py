@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import REF, Tables, cents, query
+from querybook.base import ORACLES, REF, Tables, cents, query
 from tidemark.operators import comparison as c
 from tidemark.operators import densify as d
 
@@ -240,9 +240,9 @@ def _variations_query() -> str:
     )
 
 
-def variations(t: Tables) -> DataFrame:
+def variations(t: Tables, hot_rows: int | None = None) -> DataFrame:
     """Variations of daily totals; percentages are taken on doubles."""
-    out = c.variation_kpis(daily(t), "amount", REF, KEYS, "day")
+    out = c.variation_kpis(daily(t), "amount", REF, KEYS, "day", hot_rows=hot_rows)
     return out.select(
         *[
             c.ratio(
@@ -312,6 +312,37 @@ def state_prev_decoded(t: Tables) -> DataFrame:
     )
 
 
+# --- histories in segments: the same results with every longer history cut ---------------
+
+CUT = 6  # rows, so that the histories of these tables are cut
+
+
+@query("win_segmented_propagation", ORACLES["win_balance_propagation"])
+def win_segmented_propagation(t: Tables) -> DataFrame:
+    return c.propagate_balances(
+        sides(t), ["debit", "credit"], REF, "l_suppkey", "day",
+        periods=[("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1),
+                 ("year", 2), ("week", 1), ("week", 2)],
+        observed=["quarter"], hot_rows=CUT,
+    )
+
+
+@query("win_segmented_exact", ORACLES["win_prev_quarter_exact"])
+def win_segmented_exact(t: Tables) -> DataFrame:
+    return c.prev_observed_period_value(daily(t), "amount", "quarter", KEYS, "day", exact=True, hot_rows=CUT)
+
+
+@query("win_segmented_variation", ORACLES["win_variation_kpis"])
+def win_segmented_variation(t: Tables) -> DataFrame:
+    return variations(t, hot_rows=CUT)
+
+
+@query("state_prev_segmented", ORACLES["state_prev_observed"])
+def state_prev_segmented(t: Tables) -> DataFrame:
+    units = ["week", "month", "quarter", "year"]
+    return c.prev_observed_state(states(t), "state", units, KEYS, "day", hot_rows=CUT)
+
+
 # --- gaps -----------------------------------------------------------------------------------
 
 

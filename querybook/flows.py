@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import CASH_KIND, LABELS, LINE_CLASSES, REF, WIRE_KIND, Tables, cents, literal_rows, query, values_sql
+from querybook.base import CASH_KIND, LABELS, LINE_CLASSES, ORACLES, REF, WIRE_KIND, Tables, cents, literal_rows, query, values_sql
 from tidemark.operators import money as m
 from tidemark.operators import comparison as c
 
@@ -328,6 +328,15 @@ def money_convert_filled(t: Tables) -> DataFrame:
     return out.drop("o_custkey", "day", "side")
 
 
+@query("money_convert_asof", ORACLES["money_convert_filled"])
+def money_convert_asof(t: Tables) -> DataFrame:
+    """The same without a row for every currency and day; all currencies are cut in ranges."""
+    out = m.convert_amounts_asof(
+        lines(t), rates(t), ["amount"], home="1-URGENT", wire_kind=WIRE_KIND, on_date="day", hot_rows=1_000
+    )
+    return out.drop("o_custkey", "day", "side")
+
+
 # --- flows -----------------------------------------------------------------------------------
 
 _RATE = "CASE WHEN lines.currency = '1-URGENT' THEN 1 ELSE mid END"

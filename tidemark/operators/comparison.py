@@ -2,7 +2,9 @@
 
 The row-level operators expect **one row per key and day** (``daily_totals`` makes
 it so, combining on the map side before the shuffle).  A key's window then holds
-at most one row per calendar day, however hot the key is.
+at most one row per calendar day, however hot the key is.  Histories that stay long,
+as those ordered by time of day, are given with ``hot_rows``: keys with more rows are cut
+into segments that are worked through in parallel (see :mod:`segments`), with equal results.
 
 All columns made by one call share one exchange and one sort.  When only the
 reference date's values are wanted, use :func:`values_as_of`: it is an
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
+from tidemark.operators import segments as g
 from tidemark.operators.joins import as_list, attach
 
 
@@ -113,13 +116,37 @@ def prev_observed_column(
     return F.when(directly, latest["value"])
 
 
+# --- the same, asked of segments -------------------------------------------------
+
+
+def _lag(by: str, n: int) -> g.Lag:
+    return g.Lag(past_name(by, "day", n), by, n)
+
+
+def _prev_period(by: str, date: DateLike, unit: str, n: int, order: str) -> g.Pick:
+    span, day = p.period_bounds(date, unit, n), p.day_of(order)
+    return g.Pick(past_name(by, unit, n), by, p.within(day, span), day > p.date_lit(span.end))
+
+
+def _same_day(by: str, date: DateLike, order: str) -> g.Pick:
+    then, day = p.date_lit(p.shift_back(date, "year", 1)), p.day_of(order)
+    return g.Pick(f"same_day_last_year_{by}", by, day == then, day >= then)
+
+
 # --- DataFrame forms -----------------------------------------------------------
 
 
 def lag_value(
-    df: DataFrame, by: str, n: int, keys: str | Sequence[str], order: str
+    df: DataFrame,
+    by: str,
+    n: int,
+    keys: str | Sequence[str],
+    order: str,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the value ``n`` snapshots earlier."""
+    if hot_rows is not None:
+        return g.compare_in_segments(df, keys, order, lags=[_lag(by, n)], hot_rows=hot_rows)
     return df.select("*", lag_column(by, n, keys, order))
 
 
@@ -130,8 +157,12 @@ def prev_period_value(
     periods: Sequence[Period | tuple[str, int]],
     keys: str | Sequence[str],
     order: str,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the last values of several periods before the reference date."""
+    if hot_rows is not None:
+        picks = [_prev_period(b, date, unit, n, order) for b in as_list(by) for unit, n in periods]
+        return g.compare_in_segments(df, keys, order, picks=picks, hot_rows=hot_rows)
     return df.select(
         "*",
         *[
@@ -149,16 +180,28 @@ def prev_observed_period_value(
     keys: str | Sequence[str],
     order: str,
     exact: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the last value of the previous observed period."""
-    column = prev_observed_column(by, unit, keys, order, exact)
-    return df.select("*", column.alias(past_name(by, unit)))
+    name = past_name(by, unit)
+    if hot_rows is not None:
+        return g.compare_in_segments(
+            df, keys, order, observed=[g.Observed(name, by, unit, exact)], hot_rows=hot_rows
+        )
+    return df.select("*", prev_observed_column(by, unit, keys, order, exact).alias(name))
 
 
 def same_day_last_year(
-    df: DataFrame, by: str, date: DateLike, keys: str | Sequence[str], order: str
+    df: DataFrame,
+    by: str,
+    date: DateLike,
+    keys: str | Sequence[str],
+    order: str,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the value of the same day last year."""
+    if hot_rows is not None:
+        return g.compare_in_segments(df, keys, order, picks=[_same_day(by, date, order)], hot_rows=hot_rows)
     return df.select("*", same_day_last_year_column(by, date, keys, order))
 
 
@@ -170,18 +213,26 @@ def prev_observed_state(
     order: str,
     decode: dict[str, Sequence[str]] | None = None,
     default: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add a categorical state at the end of the previous observed periods.
 
     ``decode`` maps a label to the codes it stands for; other codes become
     ``default`` and a missing state stays null.
     """
+    names = [f"prev_{unit}_{state}" for unit in units]
+    if hot_rows is not None:
+        asked = [g.Observed(name, state, unit) for name, unit in zip(names, units, strict=True)]
+        out = g.compare_in_segments(df, keys, order, observed=asked, hot_rows=hot_rows)
+        if not decode:
+            return out
+        return out.select(*df.columns, *[decode_codes(F.col(n), decode, default).alias(n) for n in names])
     made = []
-    for unit in units:
+    for unit, name in zip(units, names, strict=True):
         column = prev_observed_column(state, unit, keys, order)
         if decode:
             column = decode_codes(column, decode, default)
-        made.append(column.alias(f"prev_{unit}_{state}"))
+        made.append(column.alias(name))
     return df.select("*", *made)
 
 
@@ -207,11 +258,23 @@ def propagate_balances(
     ),
     observed: Sequence[str] = (),
     year_to_year: bool = True,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Every comparison column of several balances in one pass.
 
     One exchange and one sort serve all of them, whatever their number.
     """
+    if hot_rows is not None:
+        cols = as_list(cols)
+        lags = [_lag(by, n) for by in cols for n in days]
+        picks = [_prev_period(by, date, unit, n, order) for by in cols for unit, n in periods]
+        picks += [_same_day(by, date, order) for by in cols if year_to_year]
+        seen = [g.Observed(past_name(by, unit), by, unit) for by in cols for unit in observed]
+        out = g.compare_in_segments(df, keys, order, lags, picks, seen, hot_rows)
+        of = lambda by: [x.name for x in (*lags, *picks, *seen) if x.by == by]
+        same_day = [f"same_day_last_year_{by}" for by in cols]
+        names = [n for by in cols for n in (*[x for x in of(by) if x not in same_day], *[x for x in of(by) if x in same_day])]
+        return out.select(*df.columns, *names)
     made: list[Column] = []
     for by in as_list(cols):
         made += [lag_column(by, n, keys, order) for n in days]
@@ -384,8 +447,12 @@ VARIATIONS = (("week", "last_5_days"), ("month", "last_month"),
 
 
 def _comparison_set(
-    df: DataFrame, by: str, date: DateLike, keys: list[str], order: str
+    df: DataFrame, by: str, date: DateLike, keys: list[str], order: str, hot_rows: int | None
 ) -> DataFrame:
+    if hot_rows is not None:
+        picks = [_prev_period(by, date, unit, 1, order) for unit in ("month", "year")]
+        seen = [g.Observed(past_name(by, "quarter"), by, "quarter")]
+        return g.compare_in_segments(df, keys, order, [_lag(by, 5)], picks, seen, hot_rows)
     return df.select(
         "*",
         lag_column(by, 5, keys, order),
@@ -413,6 +480,7 @@ def variation_kpis(
     order: str,
     has_delta: bool = True,
     null_rule: str = "unsigned",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Absolute and relative variation against five snapshots ago, last month, the
     previous observed quarter and last year.
@@ -422,11 +490,11 @@ def variation_kpis(
     it adds no exchange.
     """
     keys = as_list(keys)
-    out = _comparison_set(df, by, date, keys, order)
+    out = _comparison_set(df, by, date, keys, order, hot_rows)
     out = out.select("*", *_variation_columns(by, null_rule))
     if not has_delta:
         return out
     delta = f"delta_{by}"
     change = difference(F.col(by), F.col(f"last_year_{by}"), null_rule)
-    out = _comparison_set(out.withColumn(delta, change), delta, date, keys, order)
+    out = _comparison_set(out.withColumn(delta, change), delta, date, keys, order, hot_rows)
     return out.select("*", *_variation_columns(delta, null_rule))

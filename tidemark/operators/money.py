@@ -12,6 +12,7 @@ from tidemark.functions import periods as p
 from tidemark.functions.periods import DateLike
 from tidemark.operators.densify import expected_dates, fill_nulls_bidirectional
 from tidemark.operators.joins import as_list, spread_key
+from tidemark.operators.segments import HOT_ROWS, nearest_known
 
 # --- netting and classification --------------------------------------------------
 
@@ -177,6 +178,38 @@ def convert_amounts(
     )
 
 
+def convert_amounts_asof(
+    df: DataFrame,
+    rates: DataFrame,
+    amounts: Sequence[str],
+    *,
+    home: str,
+    wire_kind: str,
+    on_date: str,
+    currency: str = "currency",
+    kind: str = "kind",
+    suffix: str = "_home",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """As ``convert_amounts`` at filled daily rates, without filling: each amount takes the
+    rate of its day, else the next known one, else the last known before.
+
+    Amounts and quotes are one stream by currency and day, so no row is made for a currency
+    and day without an amount.  A currency with many amounts is cut into ranges of days.
+    Rows in home currency are not part of the stream.
+    """
+    is_home = F.coalesce(F.col(currency) == home, F.lit(False))
+    named = df.withColumn("__on", p.day_of(on_date)).withColumn("__of", F.col(currency))
+    quotes = rates.select(
+        F.col("currency").alias("__of"), F.col("quote_date").alias("__on"), *[F.col(c).alias(f"__{c}") for c in ("mid", "low", "high")]
+    )
+    known = nearest_known(named.where(~is_home), quotes, "__of", "__on", ["__mid", "__low", "__high"], hot_rows=hot_rows)
+    note = m.note_average(F.col("__low"), F.col("__high"))
+    rate = F.when(F.col(kind) == wire_kind, F.col("__mid")).otherwise(note)
+    at = lambda rows, r: rows.select(*df.columns, *[(F.col(a) * r).cast(m.AMOUNT).alias(a + suffix) for a in amounts])
+    return at(df.where(is_home), F.lit(1)).unionByName(at(known, rate))
+
+
 def fill_rates(rates: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Rates of every currency on every day from ``start`` to ``end``; gaps are
     filled from the next known day, else from the previous one.
