@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querybook.base import ORACLES, REF, Tables, cents, query
+from querybook.base import ORACLES, REF, Tables, cents, fresh_folder, query
+from tidemark.functions import periods as p
+from tidemark.operators import carried as k
 from tidemark.operators import comparison as c
 from tidemark.operators import densify as d
 
@@ -169,6 +171,20 @@ def win_propagation_as_of(t: Tables) -> DataFrame:
     )
 
 
+@query("win_propagation_incremental", ORACLES["win_propagation_as_of"])
+def win_propagation_incremental(t: Tables) -> DataFrame:
+    """The same from the state before the date, which is carried over four days: a state from
+    the history, then a state and a day's rows at a time."""
+    what = k.Carried.of(
+        ["debit", "credit"], "l_suppkey", "day", observed=["quarter"],
+        periods=[("month", 1), ("month", 2), ("month", 3), ("month", 4), ("year", 1), ("year", 2), ("week", 1), ("week", 2)],
+    )
+    source, folder = sides(t), fresh_folder(t.spark, "carried")
+    before = [p.shift_back(REF, "day", n) for n in (4, 3, 2, 1)]
+    k.carry_forward(source, what, folder, before)
+    return k.report(source, k.state_on(t.spark, folder, before[-1]), what, REF, same_day=source)
+
+
 def _as_of(unit: str, n: int, col: str = "debit") -> str:
     months = {"month": 1, "quarter": 3, "year": 12}
     moved = f"CAST({R} - INTERVAL {7 * n} DAY AS DATE)" if unit == "week" else (
