@@ -119,8 +119,9 @@ def test_only_wanted_partitions_are_read(history):
         assert "Filter (" not in plan and "Join" not in plan and "Exchange" not in plan
 
 
-def test_only_wanted_partitions_are_searched(history, monkeypatch):
-    """The search for the dates itself opens only partitions that can hold one."""
+@pytest.fixture
+def searched(monkeypatch):
+    """The plans of all searches for dates."""
     plans, find = [], s._find
 
     def watched(dates, *args, **kwargs):
@@ -137,7 +138,18 @@ def test_only_wanted_partitions_are_searched(history, monkeypatch):
             monkeypatch.setattr(type(dates), "agg", seen)
 
     monkeypatch.setattr(s, "_find", watched)
-    day = "2024-03-13"
+    return plans
+
+
+def bounds_of(plan):
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "partitiondate" in filters, plan
+    return filters
+
+
+def test_only_wanted_partitions_are_searched(history, searched):
+    """The search for the dates itself opens only partitions that can hold one."""
+    plans, day = searched, "2024-03-13"
     s.last_n_snapshots(history, day)
     for unit in ("week", "month", "quarter", "year"):
         s.period_snapshots(history, day, unit)
@@ -149,8 +161,20 @@ def test_only_wanted_partitions_are_searched(history, monkeypatch):
     s.limited_history(history, day)
     assert len(plans) == 11
     for plan in plans:
-        filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
-        assert "partitiondate" in filters and "20" in filters, plan
+        assert "<= 20" in bounds_of(plan) and (">= 20" in bounds_of(plan) or "year(" in bounds_of(plan)), plan
+
+
+def test_a_search_goes_back_in_bounded_ranges(history, searched):
+    days = dates_of(history)
+    for day, n in (("2024-03-13", 3), ("2031-05-05", 4), ("2024-03-13", len(days) + 5)):
+        searched.clear()
+        wanted = [x for x in days if x <= d(day)][-(n + 1) :]
+        assert dates_of(s.last_n_snapshots(history, day, n)) == wanted
+        assert len(searched) <= 8 and all(">=" in bounds_of(x) and "<=" in bounds_of(x) for x in searched)
+    assert dates_of(s.snapshot_asof(history, "2031-05-05")) == [days[-1]]
+    assert dates_of(s.snapshot_asof(history, "1999-01-01")) == []
+    found = s.comparison_dates(s.snapshot_dates(history), "2031-05-05", days=2)
+    assert (found["last_day"], found["last_2_days"]) == (days[-1], days[-2])
 
 
 def test_filters_reach_the_scan_of_a_timestamp_column(spark):

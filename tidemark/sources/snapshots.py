@@ -24,6 +24,8 @@ from tidemark.functions import periods as p
 from tidemark.functions.periods import Bounds, DateLike
 
 SNAPSHOT = "partitiondate"
+#: No snapshot is older; a search that goes back ends here.
+EARLIEST = Date(1900, 1, 1)
 
 
 # --- the dates a table holds -------------------------------------------------
@@ -58,8 +60,7 @@ def _on_dates(df: DataFrame, wanted: Iterable[Date], col: str) -> DataFrame:
     return df.where(span & p.day_of(col).isin([F.lit(d) for d in wanted]))
 
 
-def _newest(dates: DataFrame, col: str, where: Column | None = None) -> Date | None:
-    dates = dates if where is None else dates.where(where)
+def _newest(dates: DataFrame, col: str) -> Date | None:
     return dates.agg(F.max(col)).first()[0]
 
 
@@ -96,8 +97,7 @@ def snapshot_asof(
     df: DataFrame, date: DateLike, col: str = SNAPSHOT, dates: DataFrame | None = None
 ) -> DataFrame:
     """The newest snapshot that is not after ``date``."""
-    found = _newest(_dates(df, col, dates), col, F.col(col) <= p.date_lit(date))
-    return _on_dates(df, [] if found is None else [found], col)
+    return _on_dates(df, _find(_dates(df, col, dates), date, col, recent=1), col)
 
 
 def history_upto(df: DataFrame, date: DateLike, col: str = SNAPSHOT) -> DataFrame:
@@ -122,6 +122,28 @@ def last_n_days(
 # --- date sets ---------------------------------------------------------------
 
 
+def _between(col: str, first: Date, last: Date) -> Column:
+    return p.within(F.col(col), Bounds(first, last))
+
+
+def _gallop(dates: DataFrame, col: str, upto: Date, n: int, found: set[Date], low: Date) -> set[Date]:
+    """``found``, which are all dates from ``low`` to ``upto``, and earlier ones until there
+    are ``n``: the search goes back in ranges of growing length, each a filter on literals,
+    so only partitions near the dates are opened.  It ends at ``EARLIEST``."""
+    span = max((upto - low).days, 1)
+    while len(found) < n and low > EARLIEST:
+        span *= 4
+        last, low = low - timedelta(days=1), max(low - timedelta(days=span), EARLIEST)
+        more = dates.where(_between(col, low, last)).agg(F.collect_set(col)).first()[0]
+        found = found.union(more)
+    return found
+
+
+def _first_span(upto: Date, n: int) -> Date:
+    """Where a search for the ``n`` newest dates first looks back to."""
+    return upto - timedelta(days=max(10, 2 * n))
+
+
 def _find(
     dates: DataFrame,
     date: DateLike,
@@ -129,28 +151,34 @@ def _find(
     last_in: list[Column] = (),
     all_in: list[Column] = (),
     recent: int = 0,
+    last_upto: Iterable[Date] = (),
 ) -> set[Date]:
-    """The newest date in each of ``last_in``, every date in any of ``all_in`` and the
-    ``recent`` newest dates not after ``date``.
-
-    One aggregation finds them all, so a table that is not partitioned by day is
-    scanned once, and only its date column.  The union of the ranges stands in front
-    of it as a filter on literals, so that only partitions that can hold one of the
-    dates are opened.  What reaches the driver is one row.
+    """The newest date in each of ``last_in``, every date in any of ``all_in``, the
+    ``recent`` newest dates not after ``date``, and the newest date not after each of
+    ``last_upto``.
+
+    One aggregation finds them, so a table that is not partitioned by day is scanned
+    once, and only its date column.  The union of the ranges stands in front of it as a
+    filter on literals, so that only partitions that can hold one of the dates are
+    opened.  Where the newest dates lie farther back than their first range, the search
+    goes on in further ranges.  What reaches the driver is one row a step.
     """
     day = F.col(col)
+    searches = [(p.as_date(date), recent)] if recent else []
+    searches += [(upto, 1) for upto in last_upto]
+    spans = [_between(col, _first_span(upto, n), upto) for upto, n in searches]
     picks = [F.max(F.when(r, day)) for r in last_in]
-    sets = [F.collect_set(F.when(r, day)) for r in all_in]
-    if recent:
-        upto = F.collect_set(F.when(day <= p.date_lit(date), day))
-        sets.append(F.slice(F.sort_array(upto, asc=False), 1, recent))
+    sets = [F.collect_set(F.when(r, day)) for r in (*all_in, *spans)]
     if not picks and not sets:
         return set()
-    wanted = [*last_in, *all_in, *([day <= p.date_lit(date)] if recent else [])]
-    dates = dates.where(reduce(lambda a, b: a | b, wanted))
-    found = dates.agg(*[c.alias(f"c{i}") for i, c in enumerate([*picks, *sets])]).first()
-    single = {d for d in found[: len(picks)] if d is not None}
-    return single.union(*found[len(picks):])
+    dates_in = dates.where(reduce(lambda a, b: a | b, [*last_in, *all_in, *spans]))
+    found = dates_in.agg(*[c.alias(f"c{i}") for i, c in enumerate([*picks, *sets])]).first()
+    out = {d for d in found[: len(picks)] if d is not None}
+    out = out.union(*found[len(picks) : len(picks) + len(all_in)])
+    for (upto, n), near in zip(searches, found[len(picks) + len(all_in) :], strict=True):
+        newest = _gallop(dates, col, upto, n, set(near), _first_span(upto, n))
+        out |= set(sorted(newest)[-n:])
+    return out
 
 
 def resolve_dates(
@@ -275,8 +303,9 @@ def _preset(
     dates: DataFrame | None,
     recent: int,
     ranges: list[Column],
+    last_upto: Iterable[Date] = (),
 ) -> DataFrame:
-    found = _find(_dates(df, col, dates), date, col, last_in=ranges, recent=recent)
+    found = _find(_dates(df, col, dates), date, col, last_in=ranges, recent=recent, last_upto=last_upto)
     return _on_dates(df, found, col)
 
 
@@ -309,19 +338,21 @@ def comparison_dates(
     snapshots before ``date``, ``last_month``, ``last_2_months`` ... for the last snapshot of
     earlier periods, ``same_day_last_year``; null where there is none.
 
-    One aggregation over the snapshot dates (see :func:`catalog_dates`) finds them all.
+    One aggregation over the snapshot dates (see :func:`catalog_dates`) finds them, and a
+    search back in growing ranges the newest ones if they lie farther away.
     """
-    day = F.col(col)
+    day, before = F.col(col), p.shift_back(date, "day", 1)
     periods = list(periods)
+    low = _first_span(before, days)
     spans = [p.within(day, p.period_bounds(date, unit, n)) for unit, n in periods]
     same_day = p.shift_back(date, "year", 1)
     picks = [*spans, day == p.date_lit(same_day)]
-    before = F.collect_set(F.when(day < p.date_lit(date), day))
-    found = dates.where(day <= p.date_lit(date)).agg(
-        F.slice(F.sort_array(before, asc=False), 1, max(days, 1)),
-        *[F.max(F.when(pick, day)) for pick in picks],
+    near = _between(col, low, before)
+    found = dates.where(reduce(lambda a, b: a | b, [near, *picks])).agg(
+        F.collect_set(F.when(near, day)), *[F.max(F.when(pick, day)) for pick in picks]
     ).first()
-    recent = [*found[0], *[None] * days]
+    newest = _gallop(dates, col, before, days, set(found[0]), low)
+    recent = [*sorted(newest, reverse=True)[:days], *[None] * days]
     out = {p.past_prefix("day", n + 1): recent[n] for n in range(days)}
     out.update({p.past_prefix(u, n): d for (u, n), d in zip(periods, found[1:], strict=False)})
     if year_to_year:
@@ -363,8 +394,7 @@ def limited_history(
     """The ``n`` newest snapshots, the newest one not after the previous month's
     end and the newest one not after the previous year's end."""
     closes = [p.period_bounds(date, unit, 1).end for unit in ("month", "year")]
-    ranges = [F.col(col) <= p.date_lit(close) for close in closes]
-    return _preset(df, date, col, dates, n, ranges)
+    return _preset(df, date, col, dates, n, [], closes)
 
 
 def incremental_delta(
@@ -378,8 +408,8 @@ def incremental_delta(
     upto = history_upto(source, date, col)
     if target is None:
         return upto
-    mark = _newest(snapshot_dates(target, col), col, F.col(col) <= p.date_lit(date))
-    return upto if mark is None else upto.where(p.day_of(col) >= F.lit(mark + timedelta(days=1)))
+    mark = _find(snapshot_dates(target, col), date, col, recent=1)
+    return upto.where(p.day_of(col) >= F.lit(max(mark) + timedelta(days=1))) if mark else upto
 
 
 def date_set_diff(left: DataFrame, right: DataFrame, col: str = SNAPSHOT) -> DataFrame:
