@@ -302,10 +302,10 @@ def plan_segment_dimension(t: Tables) -> DataFrame:
 @query(
     "plan_contract_graph",
     """WITH edges AS (
-  SELECT DISTINCT l_orderkey AS account, l_partkey AS element FROM lineitem WHERE l_linenumber = 1
-  UNION SELECT a.l_orderkey, l.ps FROM (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1) AS a
+  SELECT DISTINCT l_orderkey AS account, l_partkey AS element FROM lineitem
+  UNION SELECT a.l_orderkey, l.ps FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) AS a
     JOIN (SELECT DISTINCT l_partkey AS p, l_suppkey AS ps FROM lineitem) AS l ON l.p = a.l_partkey),
-contracts AS (SELECT p_size AS contract, MIN(p_type) AS contract_type FROM part GROUP BY 1)
+contracts AS (SELECT p_size AS contract, arg_max(p_type, p_partkey) AS contract_type FROM part GROUP BY 1)
 SELECT account, element, contract, p_brand AS product, contract_type, holder
 FROM edges JOIN part ON p_partkey = element JOIN contracts ON contract = p_size
 LEFT JOIN (SELECT c_nationkey, MIN(c_custkey) AS holder FROM customer GROUP BY 1) AS h ON c_nationkey = contract
@@ -314,14 +314,12 @@ WHERE p_brand IN (SELECT p_brand FROM part GROUP BY 1 HAVING COUNT(*) % 2 = 0)
 )
 def plan_contract_graph(t: Tables) -> DataFrame:
     """Orders as accounts, parts as elements, part sizes as contracts, customers as holders."""
-    accounts = t.lineitem.where("l_linenumber = 1").select(
-        F.col("l_orderkey").alias("account"), F.col("l_partkey").alias("element")
-    )
+    accounts = t.lineitem.select(F.col("l_orderkey").alias("account"), F.col("l_partkey").alias("element")).distinct()
     links = t.lineitem.select(F.col("l_partkey").alias("element"), F.col("l_suppkey").alias("linked")).distinct()
     elements = t.part.select(
         F.col("p_partkey").alias("element"), F.col("p_size").alias("contract"), F.col("p_brand").alias("product")
     )
-    contracts = t.part.groupBy(F.col("p_size").alias("contract")).agg(F.min("p_type").alias("contract_type"))
+    contracts = t.part.groupBy(F.col("p_size").alias("contract")).agg(F.max_by("p_type", "p_partkey").alias("contract_type"))
     since, until = F.lit("2000-01-01").cast("date"), F.lit("2002-01-01").cast("date")
     kinds = t.part.groupBy(F.col("p_type").alias("contract_type")).agg(
         F.when(F.count("*") % 2 == 0, until).otherwise(since).alias("dfval")

@@ -589,7 +589,7 @@ used AS (SELECT o_custkey AS customer, LEAST(1.5, SUM(CASE channel WHEN 'card' T
 seen AS (SELECT DISTINCT o_custkey AS customer FROM orders WHERE {_MONTH} AND o_orderstatus = 'P'),
 done AS (SELECT DISTINCT o_custkey AS customer FROM orders WHERE {_MONTH} AND o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')),
 items AS (SELECT o_custkey AS customer, l_returnflag AS family, l_linenumber AS product, COUNT(DISTINCT l_orderkey) AS n
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_discount >= 0.09 AND l_linenumber <= 2 GROUP BY 1, 2, 3),
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2, 3),
 fams AS (SELECT customer, family, SUM(n) AS n FROM items GROUP BY 1, 2),
 held AS (SELECT customer, LEAST(1.5, SUM(CASE WHEN n >= 2 THEN 1.0 WHEN n = 1 THEN 0.5 ELSE 0 END)) AS score FROM fams GROUP BY 1),
 scored AS (
@@ -613,7 +613,7 @@ def plan_activity_score(t: Tables) -> DataFrame:
     events = t.orders.select(F.col("o_custkey").alias("customer"), day.alias("day"), "o_orderpriority", "o_orderstatus")
     channels = literal_rows(t.spark, "o_orderpriority string, channel string", CHANNELS)
     owners = t.orders.select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("customer"))
-    holdings = t.lineitem.where("l_discount >= 0.09 AND l_linenumber <= 2").select(
+    holdings = t.lineitem.select(
         F.col("l_orderkey").alias("contract"), F.col("l_returnflag").alias("family"), F.col("l_linenumber").alias("product")
     ).join(owners, "contract")
     steps = [0.0, 0.5, 1.0, 1.5]
