@@ -5,6 +5,7 @@ from querybook import (  # noqa: F401  (each module registers its queries)
     comparisons,
     flags,
     flows,
+    histories,
     lifecycle,
     more_pipelines,
     objectives,
