@@ -18,13 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import Vocabulary, bpe_report
 from tidemark.llm.minhash import without_near_duplicates
-from tidemark.llm.mixing import in_mixed_order, with_read_position
+from tidemark.llm.mixing import WEIGHTS, in_mixed_order, with_read_position
 from tidemark.llm.shared import shared_folder, ship
 from tidemark.llm.substring_dedup import without_repeats
 from tidemark.llm.toxicity import fit_toxicity, without_toxic
 
-#: Shares of the training text by source.
-WEIGHTS = {"src0": 0.25, "src1": 0.1, "src2": 0.1, "src3": 0.1, "other": 0.45}
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 

@@ -18,7 +18,8 @@ def digest(text):
 def brute(data):
     talks = {}
     for conv, turn, role, text in data:
-        talks.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+        # a row of no conversation is one by itself
+        talks.setdefault(("alone", turn, role, text) if conv is None else conv, []).append((turn is not None, turn or 0, role or "", text or ""))
     out = {}
     for conv, t in talks.items():
         t.sort()
@@ -37,8 +38,20 @@ def test_read_back_is_exact(turns):
     data = [(c, t, rng.choice(["user", "assistant", "system", "tool", "x [/ROLE] y", "a\\", "", None]), rng.choice([messy(rng), None])) for c in range(80) for t in range(rng.randrange(1, 9))]
     data += [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
     data += [(900, 1, "user", "b"), (900, 1, "user", "a"), (900, None, "system", "first"), (None, 0, "user", "n"), (None, 1, "assistant", "long " * 50000)]
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat_report(turns(data)).collect()}
-    assert got == brute(data)
+    data += [(None, 0, "user", "n")]
+    report = chat_report(turns(data)).collect()
+    got = sorted((r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in report)
+    assert got == sorted(brute(data).values())
+    known = {r.conv_id: r.turns_sha256 for r in report if r.conv_id is not None}
+    assert known == {c: v[1] for c, v in brute(data).items() if not isinstance(c, tuple)}
+    assert sorted(r.n_turns for r in report if r.conv_id is None) == [1, 2]
+
+
+def test_a_role_spelled_as_a_state_is_refused(turns):
+    data = [(1, 0, "user", "u"), (1, 1, "assistant", "a"), (1, 2, "<end>", "x"), (2, 0, "<start>", "x"), (2, 1, "user", "u"), (2, 2, "assistant", "a")]
+    out = {r.conv_id: r for r in read_back(format_chats(turns(data))).collect()}
+    assert (out[1].accepted, out[1].refused_at) == (False, 2) and (out[2].accepted, out[2].refused_at) == (False, 0)
+    assert [t.role for t in out[1].turns] == ["user", "assistant", "<end>"]
 
 
 def test_machine_template_and_loss(turns):

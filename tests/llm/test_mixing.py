@@ -135,3 +135,23 @@ def test_the_query_lays_out_whole_documents(spark):
     assert len({r.mix_stream for r in out}) == given.select("source").distinct().count()
     assert [r.mix_position for r in out] == list(range(given.count()))
     assert {r.doc_id: r.text for r in out} == {r.doc_id: r.text for r in given.collect()}
+
+
+def test_two_hundred_sources_keep_their_bounds(docs):
+    from tidemark.llm.mixing import own_weights
+
+    given = frame(docs, {f"s{i:03d}": 3 + i % 4 for i in range(200)})
+    weights = own_weights(given, {"other": 1.0})
+    assert len(weights) == 200 and "other" not in weights
+    rows = in_mixed_order(given, weights, block_rows=1, places=True).collect()
+    total = len(rows)
+    assert [r.mix_position for r in rows] == list(range(total)) and len({r.mix_stream for r in rows}) == 200
+    # Every source is nowhere a block from its share of the slots, as long as all have rows.
+    parts = 1000
+    share = whole_parts({**weights, "other": 1e-9}, parts)
+    names = list(share)
+    done = dict.fromkeys(names, 0)
+    for r in rows:
+        assert r.mix_release <= r.mix_slot < r.mix_due
+        assert abs(done[names[r.mix_stream]] - share[names[r.mix_stream]] * r.mix_slot / parts) < 1
+        done[names[r.mix_stream]] += 1

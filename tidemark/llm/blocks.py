@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import partitions
 
 BLOCK_BYTES = 16 << 20
+#: Text whose words or windows make one bucket of hashes: what a task compares.
+BUCKET_BYTES = 64 << 20
 FLUSH_BYTES = 8 << 20
 PACKED = "block int, data binary"
 
@@ -34,6 +36,9 @@ class Blocks:
     that are null belong to the first.  Rows of one id share a block."""
 
     bounds: tuple[int, ...]
+    #: Buckets for an exchange of sets: by bytes of text, not by blocks, so that packed rows
+    #: hold more the larger the corpus is.
+    buckets: int = 1
 
     @property
     def count(self) -> int:
@@ -80,8 +85,9 @@ def fit_blocks(docs: DataFrame) -> Blocks:
     """Blocks of documents: two for each shuffle partition, or more if they would hold over
     ``BLOCK_BYTES`` of text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(2 * partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
-    return id_blocks(docs, "doc_id", n)
+    few = partitions(docs.sparkSession)
+    n = max(2 * few, -(-size // BLOCK_BYTES))
+    return replace(id_blocks(docs, "doc_id", n), buckets=max(few, -(-size // BUCKET_BYTES)))
 
 
 def _compress(table: pa.Table) -> bytes:

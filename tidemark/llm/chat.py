@@ -136,18 +136,23 @@ def format_chats(turns: DataFrame, template: Template | None = None) -> DataFram
     number of turns if the conversation breaks off.
 
     Turns go by number; equal numbers go by role, then text.  A null number stands first; a
-    null text or role is empty; rows with a null conv_id are one conversation.  Refused
+    null text or role is empty; a row with a null conv_id is a
+    conversation by itself, with the rows that equal it.  Refused
     conversations are formatted all the same.  Other columns are not looked at.  An empty
     table gives an empty one.  A conversation is one row of the result, as its text is.
     """
     template = template or Template()
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
-    talks = rows.groupBy("conv_id").agg(
+    # Rows of no conversation do not become one that grows with the table.
+    alone = F.when(F.col("conv_id").isNull(), F.struct("turn", "role", "text"))
+    talks = rows.groupBy("conv_id", alone.alias("alone")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("turn").isNotNull(), "turn", "role", "text"))).alias("t")
     )
     n = F.size("t")
-    roles = F.concat(F.array(F.lit(START)), F.transform("t", lambda x: x.role), F.array(F.lit(END)))
+    # A role that is spelled as the machine's own states is none of them.
+    role = lambda x: F.when(x.role.isin(START, END), F.concat(x.role, F.lit("?"))).otherwise(x.role)
+    roles = F.concat(F.array(F.lit(START)), F.transform("t", role), F.array(F.lit(END)))
     steps = F.arrays_zip(
         F.slice(roles, F.lit(1), n + 1).alias("a"), F.slice(roles, F.lit(2), n + 1).alias("b")
     )

@@ -22,8 +22,21 @@ from tidemark.llm.shared import partitions
 PARTS = 1000
 BLOCK_ROWS = 8
 OTHER = "other"
-#: Sources that get a stream of their own at most, besides those that are named.
-SOURCES = 64
+#: Shares of the training text by source in the queries; the others have the rest.
+WEIGHTS = {"src0": 0.25, "src1": 0.1, "src2": 0.1, "src3": 0.1, OTHER: 0.45}
+#: Parts of a pattern for each stream at least, so that many small weights keep their size.
+PARTS_EACH = 4
+#: Tables whose size is known to be less are broadcast; above it the join is Spark's choice.
+BROADCAST_BYTES = 32 << 20
+
+
+def _small(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def parts_for(weights: dict[str, float]) -> int:
+    """Parts of the pattern of so many streams."""
+    return max(PARTS, PARTS_EACH * len(weights))
 
 
 def whole_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]:
@@ -45,11 +58,9 @@ def whole_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]
 
 def _stream(source: Column, names: list[str]) -> Column:
     """The number of a row's stream: that of its source's name, or of the others."""
-    out = F.lit(names.index(OTHER))
-    for i, name in enumerate(names):
-        if name != OTHER:
-            out = F.when(source == name, i).otherwise(out)
-    return out
+    other = names.index(OTHER)
+    own = F.array_position(F.array(*[F.lit(n) for n in names]), F.coalesce(source, F.lit(OTHER)))
+    return F.when(own > 0, own - 1).otherwise(other).cast("int")
 
 
 def _longs(values: list[int]) -> Column:
@@ -103,7 +114,7 @@ def _periods(rows: int, per_period: int) -> int:
     return -(-rows // per_period)
 
 
-def numbered(docs: DataFrame, group: Column, key: str) -> DataFrame:
+def numbered(docs: DataFrame, group: Column, key: str, streams: int) -> DataFrame:
     """``docs`` with ``_stream`` and ``_n``, the number of a row (from 0) in its stream by
     ascending key (null first).  A stream is numbered in ranges of keys, whose sizes are
     summed up first, so that no task orders a whole stream."""
@@ -119,12 +130,13 @@ def numbered(docs: DataFrame, group: Column, key: str) -> DataFrame:
     inside = Window.partitionBy("_stream", "_range").orderBy(F.col(key).asc_nulls_first())
     rows = placed.withColumn("_i", F.row_number().over(inside) - 1)
     return rows.join(
-        F.broadcast(sizes), (F.col("_stream") == F.col("_s")) & (F.col("_range") == F.col("_r"))
+        # A row per stream and range at most.
+        _small(sizes, 32 * streams * blocks.count), (F.col("_stream") == F.col("_s")) & (F.col("_range") == F.col("_r"))
     ).withColumn("_n", (F.col("_before") + F.col("_i")).cast("long")).drop("_range", "_s", "_r", "_before", "_i")
 
 
 def mixed(
-    docs: DataFrame, weights: dict[str, float], block_rows: int = BLOCK_ROWS, parts: int = PARTS, source: str = "source"
+    docs: DataFrame, weights: dict[str, float], block_rows: int = BLOCK_ROWS, parts: int | None = None, source: str = "source"
 ) -> DataFrame:
     """``docs`` (doc_id, source, ...) with the columns ``mix_stream`` (number of the stream in
     the order of ``weights``), ``mix_block`` (from 0), ``mix_release``, ``mix_due``,
@@ -135,7 +147,8 @@ def mixed(
     order.  All rows are kept: a source that runs out leaves its share to the others.  Columns
     with the new names are replaced.  An empty table gives an empty one.
     """
-    share = whole_parts(weights if OTHER in weights else {**weights, OTHER: 1e-9}, parts)
+    weights = weights if OTHER in weights else {**weights, OTHER: 1e-9}
+    share = whole_parts(weights, parts or parts_for(weights))
     names = list(share)
     total = sum(share.values())
     group = _stream(F.col(source), names)
@@ -152,12 +165,12 @@ def mixed(
     block = F.floor(F.col("_n") / block_rows).cast("long")
     period = F.floor(block / part).cast("long")
     phase = F.size(F.filter(_longs(starts), lambda p: p <= period)) - 1
-    keyed = numbered(docs, group, "doc_id").withColumns(
+    keyed = numbered(docs, group, "doc_id", len(names)).withColumns(
         {"_block": block, "_period": period, "_phase": phase, "_nth": block % part}
     )
-    # At most one row per part and phase: bounded by the number of named sources.
+    # A row per part and phase, each with a number per stream.
     joined = keyed.join(
-        F.broadcast(pattern),
+        _small(pattern, total * len(starts) * (48 + 8 * len(names))),
         (F.col("_phase") == F.col("_mix_phase"))
         & (F.col("_stream") == F.col("_mix_stream"))
         & (F.col("_nth") == F.col("_mix_nth")),
@@ -195,9 +208,11 @@ def _with_places(df: DataFrame, *values: Column, keep: list[str] | None = None)
     return df.select(*columns, *[v.alias(n) for v, n in zip(values, _PLACES, strict=True)])
 
 
-def own_weights(docs: DataFrame, weights: dict[str, float], most: int = SOURCES, source: str = "source") -> dict[str, float]:
+def own_weights(docs: DataFrame, weights: dict[str, float], most: int = PARTS, source: str = "source") -> dict[str, float]:
     """``weights`` with the share of ``"other"`` given out to the sources not named, by their
-    rows: each of the ``most`` largest gets its own, the rest and null stay ``"other"``."""
+    rows: each of the ``most`` largest gets its own, the rest and null stay ``"other"``.  A
+    pattern is worked out by streams times parts for every set of streams, so its time grows
+    with their cube; a thousand is what it is meant for."""
     named = [s for s in weights if s != OTHER]
     spare = weights.get(OTHER, 0.0)
     unnamed = docs.where(F.col(source).isNull() | ~F.col(source).isin(named)) if named else docs
@@ -238,6 +253,8 @@ def with_read_position(docs: DataFrame, name: str = "mix_position") -> DataFrame
     # One row per file.
     sizes = docs.groupBy(path.alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = sizes.select("_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    joined = placed.join(F.broadcast(sizes), F.col("_file") == F.col("_of"))
+    files = docs.inputFiles()
+    known = sum(map(len, files)) + 64 * len(files)
+    joined = placed.join(_small(sizes, known), F.col("_file") == F.col("_of"))
     kept = [c for c in docs.columns if c != name]
     return joined.select(*kept, (F.col("_before") + F.col("_line")).cast("long").alias(name))

@@ -19,7 +19,7 @@ from tidemark.llm.licenses import oracle as license_sql
 from tidemark.llm.lm_score import lm_scores
 from tidemark.llm.merkle import fingerprint_report
 from tidemark.llm.minhash import near_duplicates
-from tidemark.llm.mixing import in_mixed_order, own_weights
+from tidemark.llm.mixing import WEIGHTS, in_mixed_order, own_weights
 from tidemark.llm.repair import repair_report
 from tidemark.llm.sharding import shard_report
 from tidemark.llm.shared import ship
@@ -64,7 +64,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in the order of a mix of a stream for each source, with their places."""
     docs = table(spark, sf_dir, "documents")
-    return in_mixed_order(docs, own_weights(docs, corpus_pipeline.WEIGHTS), places=True)
+    return in_mixed_order(docs, own_weights(docs, WEIGHTS), places=True)
 
 
 @query

@@ -317,7 +317,7 @@ def _run(
     if window < 2 * anchor - 1:
         raise ValueError("a window must hold a whole reference block wherever it lies")
     blocks = fit_blocks(docs)
-    buckets = blocks.count
+    buckets = blocks.buckets
     texts = pack(docs, blocks, *more)
     hits = (
         texts.groupBy("block")
