@@ -14,6 +14,7 @@ from tidemark.plans import accounts as a
 from tidemark.plans import holdings as h
 from tidemark.plans.credits import loan_commitments
 from tidemark.plans.dimensions import contract_graph, segment_dimension
+from tidemark.plans.equipment import customer_equipment
 
 R = f"DATE '{REF}'"
 SEGMENT_DATE = "1998-01-03"
@@ -331,3 +332,59 @@ def plan_contract_graph(t: Tables) -> DataFrame:
     return contract_graph(
         accounts, links, elements, contracts, holders.withColumn("main", F.lit(True)), kinds, products, REF
     )
+
+
+# --- equipment ------------------------------------------------------------------------------
+
+FAMILIES = {"cards": ["Brand#11", "Brand#12", "Brand#13"], "packages": ["Brand#21", "Brand#22"], "insurance": ["Brand#31", "Brand#32", "Brand#33"]}
+_FAMILY = "CASE " + " ".join(f"WHEN p_brand IN ({', '.join(repr(b) for b in of)}) THEN '{name}'" for name, of in FAMILIES.items()) + " END"
+
+
+def _recent(last: str) -> str:
+    return f"CASE WHEN {last} BETWEEN day - 90 AND day THEN 1 ELSE 0 END"
+
+
+def _sold(unit: str) -> str:
+    return f"CASE WHEN state = 'N' AND date_trunc('{unit}', since) = date_trunc('{unit}', day) THEN 1 ELSE 0 END AS is_{unit}ly"
+
+
+@query(
+    "plan_customer_equipment",
+    f"""WITH history AS (
+  SELECT l_partkey AS contract, CAST(l_shipdate AS DATE) AS day, arg_max(l_returnflag, l_orderkey * 10 + l_linenumber) AS state,
+    min(l_suppkey) AS holder FROM lineitem GROUP BY 1, 2),
+lagged AS (SELECT *, lag(day) OVER w AS p_day, lag(state) OVER w AS p_state FROM history WINDOW w AS (PARTITION BY contract ORDER BY day)),
+seen AS (SELECT *, {", ".join(
+        f"last_value(CASE WHEN date_trunc('{u}', day) <> date_trunc('{u}', p_day) THEN p_state END IGNORE NULLS) OVER run AS prev_{u}_state"
+        for u in ("week", "month", "year"))}
+  FROM lagged WINDOW run AS (PARTITION BY contract ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+held AS (SELECT s.*, p_brand AS product, {_FAMILY} AS family, CAST(day - CAST(p_size AS INTEGER) AS DATE) AS since FROM seen s JOIN part ON p_partkey = contract),
+used AS (SELECT o_custkey AS contract, max(CAST(o_orderdate AS DATE)) AS last_card_use FROM orders GROUP BY 1),
+met AS (SELECT o_custkey AS holder, max(CAST(o_orderdate AS DATE)) AS last_connection FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1)
+SELECT contract, holder, product, family, state, CAST(since AS VARCHAR) AS since, CAST(day AS VARCHAR) AS day, s_name AS holder_name,
+  CAST(s_nationkey AS INTEGER) AS branch, n_name AS branch_name, prev_week_state, prev_month_state, prev_year_state,
+  CAST(last_card_use AS VARCHAR) AS last_card_use, CAST(last_connection AS VARCHAR) AS last_connection,
+  CASE WHEN state = 'N' THEN 1 ELSE 0 END AS is_valid, {_recent("last_card_use")} AS card_active, {_recent("last_connection")} AS digital_active,
+  {_sold("week")}, {_sold("month")}, {_sold("year")}
+FROM held LEFT JOIN supplier ON s_suppkey = holder LEFT JOIN nation ON n_nationkey = s_nationkey
+LEFT JOIN used USING (contract) LEFT JOIN met USING (holder) WHERE family IS NOT NULL""",
+)
+def plan_customer_equipment(t: Tables) -> DataFrame:
+    """Parts as contracts of their suppliers, a state a day; orders as uses."""
+    place = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    history = t.lineitem.groupBy(F.col("l_partkey").alias("contract"), F.col("l_shipdate").cast("date").alias("day")).agg(
+        F.max_by("l_returnflag", place).alias("state"), F.min("l_suppkey").alias("holder")
+    )
+    parts = t.part.select(F.col("p_partkey").alias("contract"), F.col("p_brand").alias("product"), "p_size")
+    contracts = history.join(parts, "contract").select(
+        "contract", "holder", "product", "state", F.date_sub("day", F.col("p_size").cast("int")).alias("since"), "day"
+    )
+    uses = t.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderpriority")
+    return customer_equipment(
+        contracts, history,
+        t.supplier.select(F.col("s_suppkey").alias("holder"), F.col("s_name").alias("holder_name"), F.col("s_nationkey").alias("branch")),
+        t.nation.select(F.col("n_nationkey").alias("branch"), F.col("n_name").alias("branch_name")),
+        uses.select(F.col("o_custkey").alias("contract"), "day"),
+        uses.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("holder"), "day"),
+        FAMILIES, valid="N",
+    )
