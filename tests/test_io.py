@@ -176,3 +176,22 @@ def test_folders_are_in_the_shared_one(spark):
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/"))
     a, b = fresh_folder(session, "x"), fresh_folder(session, "x")
     assert a != b and a.startswith("/shared/x-")
+
+
+def test_an_overwrite_leaves_the_session_alone(spark, tmp_path, monkeypatch):
+    """The overwrite mode is set in no session but that of the insert."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    seen, insert = [], type(spark).sql
+
+    def sql(session, text, *args, **kwargs):
+        if text.startswith("INSERT OVERWRITE"):
+            seen.append((session is spark, spark.conf.get(mode), session.conf.get(mode)))
+        return insert(session, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    rows = spark.createDataFrame([(1, D1), (2, D1)], "id int, day date")
+    k.backfill(rows, "kept_alone", F.col("day"), location=f"{tmp_path}/t")
+    k.backfill(rows.where("id = 2"), "kept_alone", F.col("day"), location=f"{tmp_path}/t")
+    before = spark.conf.get(mode)
+    assert seen and all(x == (False, before, "dynamic") for x in seen if x[2] == "dynamic")
+    assert [r["id"] for r in spark.table("kept_alone").collect()] == [2]

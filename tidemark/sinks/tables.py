@@ -7,7 +7,7 @@ there yet is created empty from the schema, so the data is computed only once.
 
 from __future__ import annotations
 
-import threading
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from tidemark.functions.periods import DateLike
 from tidemark.sources.snapshots import SNAPSHOT
 
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "text")
-_overwriting = threading.Lock()
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -84,9 +83,9 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
 def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
     """Append, or replace the partitions that receive rows.
 
-    An insert into a file table takes the overwrite mode from the session only.  It is
-    dynamic while the write is planned and as before afterwards, and writers of one process
-    take turns, so that none sees another's setting.
+    An insert into a file table takes the overwrite mode from the session only, so an
+    overwrite runs in a session of its own, and no other query of the caller's sees another
+    setting.
     """
     spark = df.sparkSession
     rows = _aligned(df, table)
@@ -96,14 +95,27 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
     if not overwrite:
         rows.write.insertInto(table)
         return
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    with _overwriting:
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            rows.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
+    own, view = _session_like(spark), f"rows_{uuid.uuid4().hex}"
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows.createGlobalTempView(view)
+    try:
+        own.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {spark.conf.get(_GLOBAL_VIEWS)}.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)
+
+
+_GLOBAL_VIEWS = "spark.sql.globalTempDatabase"
+
+
+def _session_like(spark: SparkSession) -> SparkSession:
+    """A new session with the caller's settings and database."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
 
 
 def _replace_day(df: DataFrame, table: str, col: str, day: DateLike) -> None:
