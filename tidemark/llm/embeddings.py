@@ -8,8 +8,9 @@ range-joined under its part, and the union of what the blocks find is verified b
 cosine in double precision.
 
 A block's range join is a grid over its first coordinates: a vector is at home in one cell
-and visits the cells its range reaches.  Inside a task, visitors are compared with homes in
-tiles; a pair that several blocks find counts in the first of them.  Only sums of links and
+and visits the cells its range reaches.  Inside a task, homes are halved along their longest
+sides into small boxes, and only visitors within range of a box are compared with its homes;
+a pair that several blocks find counts in the first of them.  Only sums of links and
 a spanning forest of each tile's links leave a task, never the pairs.  Equal vectors are
 one class with a number.
 """
@@ -29,7 +30,7 @@ from tidemark.llm.groups import by_group, tiled
 from tidemark.llm.shared import cut
 
 WIDTH = 8
-TILE, CELL_ROWS, STEP = 32_768, 32_768, 512
+TILE, CELL_ROWS, LEAF = 32_768, 32_768, 256
 _SLACK = 1e-5
 _rotations: dict[int, np.ndarray] = {}
 
@@ -110,38 +111,59 @@ def _place(budget: float, axes: int):
 
 
 class _Side:
-    """Some vectors of a task: ids, numbers, unit vectors, turned vectors."""
+    """The vectors of a task: ids, numbers, unit vectors, turned vectors."""
 
-    def __init__(self, ids, numbers, vectors, unit, points) -> None:
-        self.ids, self.numbers, self.vectors, self.unit, self.points = ids, numbers, vectors, unit, points
-
-    def take(self, some) -> _Side:
-        return _Side(self.ids[some], self.numbers[some], self.vectors[some], self.unit[some], self.points[some])
+    def __init__(self, ids, numbers, unit, points) -> None:
+        self.ids, self.numbers, self.unit, self.points = ids, numbers, unit, points
 
 
 def _near(a: np.ndarray, b: np.ndarray, budget: float) -> np.ndarray:
-    distance = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
+    """Which pairs are within a squared distance, by one product: |a|^2 + |b|^2 - 2ab."""
+    one = lambda x: np.ones((len(x), 1), x.dtype)
+    square = lambda x: (x * x).sum(axis=1, keepdims=True)
+    distance = np.hstack([a, square(a), one(a)]) @ np.hstack([-2 * b, one(b), square(b)]).T
     return distance <= budget * (1 + _SLACK) + _SLACK
 
 
-def _verified(homes: _Side, guests: _Side, block: int, budget: float, least: float):
-    """(home, guest) places of the pairs that this block is the first to find and whose
-    cosine is high enough."""
-    dim = homes.points.shape[1]
+def _boxes(points: np.ndarray, homes: np.ndarray, guests: np.ndarray, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(homes, guests) that are left to compare: homes are halved along their longest side,
+    and a guest goes on with a half only if it is near enough to the half's box."""
+    todo = [(homes, guests)]
+    while todo:
+        homes, guests = todo.pop()
+        inside, outside = points[homes], points[guests]
+        low, high = inside.min(axis=0), inside.max(axis=0)
+        away = np.maximum(np.maximum(low - outside, outside - high), 0)
+        guests = guests[(away * away).sum(axis=1) <= limit]
+        if len(guests) == 0:
+            continue
+        if len(homes) <= LEAF:
+            yield homes, guests
+            continue
+        half = len(homes) // 2
+        order = np.argpartition(inside[:, np.argmax(high - low)], half)
+        todo += [(homes[order[:half]], guests), (homes[order[half:]], guests)]
+
+
+def _verified(every: _Side, homes: np.ndarray, guests: np.ndarray, block: int, budget: float, least: float):
+    """(home, guest) of the pairs that this block is the first to find and whose cosine is
+    high enough."""
+    dim = every.points.shape[1]
     parts = subspaces(dim)
     part = lambda i: budget * (parts[i].stop - parts[i].start) / dim
-    x, y = np.nonzero(_near(homes.points[:, parts[block]], guests.points[:, parts[block]], part(block)))
-    other = homes.ids[x] != guests.ids[y]
+    near = np.flatnonzero(_near(every.points[homes, parts[block]], every.points[guests, parts[block]], part(block)))
+    x, y = homes[near // len(guests)], guests[near % len(guests)]
+    other = every.ids[x] != every.ids[y]
     x, y = x[other], y[other]
     fresh = np.ones(len(x), bool)
     for i in range(block):
-        d = homes.points[x, parts[i]] - guests.points[y, parts[i]]
+        d = every.points[x, parts[i]] - every.points[y, parts[i]]
         fresh &= ~((d * d).sum(axis=1) <= part(i) * (1 + _SLACK) + _SLACK)
     x, y = x[fresh], y[fresh]
     hit = np.zeros(len(x), bool)
     for i in range(0, len(x), 1 << 18):
         s = slice(i, i + (1 << 18))
-        hit[s] = np.einsum("ij,ij->i", homes.unit[x[s]], guests.unit[y[s]]) >= least
+        hit[s] = np.einsum("ij,ij->i", every.unit[x[s]], every.unit[y[s]]) >= least
     return x[hit], y[hit]
 
 
@@ -170,22 +192,23 @@ def _links(budget: float, least: float):
         raw = b"".join(table.column("vector").to_pylist())
         vectors = np.frombuffer(raw, np.float32).reshape(-1, dim).astype(np.float64)
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        every = _Side(
-            table.column("rep").to_numpy(), table.column("number").to_numpy(), vectors, unit, turned(vectors)
-        )
+        every = _Side(table.column("rep").to_numpy(), table.column("number").to_numpy(), unit, turned(vectors))
         home = np.asarray(table.column("home"))
         own = table.column("tile_own").to_numpy()
         count = np.zeros(table.num_rows, np.int64)
         u, v = [], []
+        own_part = subspaces(dim)[block]
+        mine = np.ascontiguousarray(every.points[:, own_part])
+        limit = budget * mine.shape[1] / dim * (1 + _SLACK) + _SLACK
         for here, there in {(tile_a, tile_b), (tile_b, tile_a)}:
             homes, guests = np.flatnonzero(home & (own == here)), np.flatnonzero(own == there)
-            visiting = every.take(guests)
-            for i in range(0, len(homes), STEP):
-                some = homes[i : i + STEP]
-                x, y = _verified(every.take(some), visiting, block, budget, least)
+            if len(homes) == 0:
+                continue
+            for some, near in _boxes(mine, homes, guests, limit):
+                x, y = _verified(every, some, near, block, budget, least)
                 if len(x):
-                    np.add.at(count, some[x], visiting.numbers[y])
-                    a, b = _forest(every.ids[some[x]], visiting.ids[y])
+                    np.add.at(count, x, every.numbers[y])
+                    a, b = _forest(every.ids[x], every.ids[y])
                     u.append(a)
                     v.append(b)
         linked = np.flatnonzero(count)
