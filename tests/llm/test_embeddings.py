@@ -47,7 +47,7 @@ def test_same_as_brute_force(frame, monkeypatch):
     assert got == brute(data, 0.9)
     monkeypatch.setattr(embeddings, "TILE", 16)
     monkeypatch.setattr(embeddings, "CELL_ROWS", 40)
-    monkeypatch.setattr(embeddings, "STEP", 7)
+    monkeypatch.setattr(embeddings, "LEAF", 7)
     assert set(map(tuple, linked_vectors(frame(data)).collect())) == got
     assert set(map(tuple, linked_vectors(frame(data), cosine=0.75).collect())) == brute(data, 0.75)
 
