@@ -73,15 +73,15 @@ def money_classify_balances(t: Tables) -> DataFrame:
 _CLASS_CASE = "CASE " + " ".join(
     f"WHEN starts_with(line, '{prefix}') THEN '{LINE_CLASSES[prefix]}'"
     for prefix in sorted(LINE_CLASSES, key=lambda p: -len(p))
-) + " ELSE 'AUTRES' END"
+) + " ELSE 'OTHER' END"
 
 
 @query(
     "money_prefix_classes",
     f"""WITH lines AS (
-  SELECT l_suppkey, CAST(l_partkey AS VARCHAR) AS line, 'RESS' AS category FROM lineitem
+  SELECT l_suppkey, CAST(l_partkey AS VARCHAR) AS line, 'IN' AS category FROM lineitem
   UNION
-  SELECT l_suppkey, CAST(l_orderkey AS VARCHAR), 'EMP' FROM lineitem WHERE l_returnflag <> 'N')
+  SELECT l_suppkey, CAST(l_orderkey AS VARCHAR), 'OUT' FROM lineitem WHERE l_returnflag <> 'N')
 SELECT l_suppkey, line, category, {_CLASS_CASE} AS class FROM lines""",
 )
 def money_prefix_classes(t: Tables) -> DataFrame:
@@ -92,7 +92,7 @@ def money_prefix_classes(t: Tables) -> DataFrame:
         F.when(F.col("l_returnflag") != "N", F.col("l_orderkey").cast("string")).alias("debit_line"),
     )
     return m.classify_prefix(
-        coded, ["l_suppkey"], "credit_line", "debit_line", LINE_CLASSES, "AUTRES", ("RESS", "EMP")
+        coded, ["l_suppkey"], "credit_line", "debit_line", LINE_CLASSES, "OTHER", ("IN", "OUT")
     )
 
 

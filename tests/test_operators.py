@@ -182,9 +182,9 @@ def test_rates(rows):
 
 
 def test_prefix_classes_take_the_longest_prefix(rows):
-    frame = rows("id int, c string, d string", [(1, "6241", "611"), (1, "6241", "611"), (2, None, "6299"), (3, None, None)])
-    got = bag(m.classify_prefix(frame, ["id"], "c", "d", LINE_CLASSES, "AUTRES", ("RESS", "EMP")))
-    assert got == [(1, "611", "EMP", "RAV"), (1, "6241", "RESS", "REP"), (2, "6299", "EMP", "AUTRES")]
+    frame = rows("id int, c string, d string", [(1, "6141", "6119"), (1, "6141", "6119"), (2, None, "6299"), (3, None, None)])
+    got = bag(m.classify_prefix(frame, ["id"], "c", "d", LINE_CLASSES, "OTHER", ("IN", "OUT")))
+    assert got == [(1, "6119", "OUT", "CLASS 61"), (1, "6141", "IN", "CLASS 614"), (2, "6299", "OUT", "OTHER")]
 
 
 def test_conversion(spark, rows):

@@ -346,7 +346,9 @@ def propagate_as_of(
 
     The newest rows of a key are ranked, which Spark limits per key before the
     shuffle, and the period values are aggregated, so the history itself is neither
-    shuffled nor sorted as a whole.
+    shuffled nor sorted as a whole.  It is read for the ranks and for each observed unit,
+    though: :func:`values_on_dates` reads the days it compares only, and
+    :mod:`tidemark.operators.carried` keeps what later days need from day to day.
     """
     keys, cols = as_list(keys), as_list(cols)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc(order))

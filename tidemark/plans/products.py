@@ -103,7 +103,7 @@ def direct_debits(
 
     ``billing_rules`` maps (kind, operation) to a billing type that overrides the
     table; movements billed as ``unbilled``, or with no billing type, are left out.
-    The code tables are counted, and broadcast if small.
+    Whether a code table is broadcast is Spark's choice by its measured size.
     """
     state = F.col("state")
     in_force = state.isin(*valid_states) | (
