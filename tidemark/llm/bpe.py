@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textops as T
+from tidemark.llm.shared import keeps
 
 # Pieces and their bytes given to one recursive query, ids given to one decoding query, and
 # pieces and their bytes kept by a worker: they bound memory and change no result.
@@ -384,6 +385,7 @@ def _merged_spans(spans: list[tuple[int, int]], apart: set[int]) -> list[tuple[i
 
 
 _encoders: dict[int, Encoder] = {}
+keeps("bpe", _encoders.clear)
 
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:

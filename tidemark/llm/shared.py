@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from functools import cache
 from pathlib import Path
 
@@ -44,6 +45,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, forget: Callable[[], None]) -> None:
+    """Says how to give back what an operator keeps in a Python worker between tasks."""
+    _caches[name] = forget
+
+
+def alone(name: str) -> None:
+    """Called by an operator's tasks: what other operators have left in the worker goes."""
+    for other, forget in _caches.items():
+        if other != name:
+            forget()
+
+
 _shipped: set[str] = set()
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textops as T
-from tidemark.llm.shared import cut
+from tidemark.llm.shared import alone, cut
 
 #: Labelled texts that the model is fitted on at most, the first by a hash of doc_id.
 LABELLED = 40_000
@@ -179,6 +179,7 @@ def _features(docs: DataFrame, lexicon: Lexicon, *more: str) -> DataFrame:
     kept = ["doc_id", *more]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone("toxicity")
         for batch in batches:
             for part in T.sliced(batch):
                 matrix = feature_matrix(part.column("text"), shared.value)
