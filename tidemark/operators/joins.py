@@ -19,6 +19,16 @@ def as_list(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as the session's exchanges have.
+
+    Adaptive execution joins partitions until a task reads some tens of MB, but rows that
+    shrink well in an exchange need many times as much where they are sorted and grouped.
+    Partitions of a number asked for are not joined, so a task's rows are their share.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def attach(
     df: DataFrame, per_group: DataFrame, keys: str | Sequence[str], how: str = "left"
 ) -> DataFrame:

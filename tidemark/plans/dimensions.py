@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys as k
 from tidemark.functions.periods import DateLike
+from tidemark.operators.joins import dealt
 from tidemark.operators.latest import valid_at
 from tidemark.operators.shaping import with_unknown_member
 
@@ -57,17 +58,24 @@ def contract_graph(
     ``contract_type`` or ``product`` and ``dfval``, and only types valid at ``date`` count.
 
     An account reaches its own element and the linked ones; both ways are one list of
-    edges, so elements and contracts are joined once.
+    edges, so elements and contracts are joined once.  Elements without a valid contract and
+    product lead nowhere and are left out before the links multiply the accounts; that join
+    is dealt by number, as its rows are many times what it reads.
     """
-    own = accounts.select("account", "element")
-    linked = accounts.join(links, "element").select("account", F.col("linked").alias("element"))
     types = valid_at(contract_types, date).select("contract_type").distinct()
     products = valid_at(element_types, date).select("product").distinct()
     typed = contracts.join(types, "contract_type", "left_semi")
+    members = elements.join(products, "product", "left_semi")
+    leading = members.join(typed, "contract", "left_semi").select("element")
+    own = accounts.select("account", "element")
+    useful = links.join(leading.withColumnRenamed("element", "linked"), "linked", "left_semi")
+    linked = dealt(own, "element").join(dealt(useful, "element"), "element").select("account", F.col("linked").alias("element"))
     return (
-        own.unionByName(linked)
+        own.join(leading, "element", "left_semi")
+        .select("account", "element")
+        .unionByName(linked)
         .distinct()
-        .join(elements.join(products, "product", "left_semi"), "element")
+        .join(members, "element")
         .join(typed, "contract")
         .join(holders.where("main").select("contract", "holder"), "contract", "left")
     )
