@@ -41,3 +41,17 @@ def test_links_to_elements_that_lead_nowhere_are_left_before_the_join(spark, cap
     assert found == {(a, e, *rest[e]) for a, e in [(1, 10), (1, 11), (1, 14), (2, 11), (2, 14), (None, 10), (None, 11)]}
     assert out.count() == len(found)
     assert len(re.findall("REPARTITION_BY_NUM", plan(out, capsys))) >= 2
+
+
+def test_rows_in_segments_stay_where_the_windows_left_them(history, capsys):
+    cut = c.propagate_balances(history, "v", "2023-02-10", "k", "d", observed=["quarter"], hot_rows=5)
+    text = plan(cut, capsys)
+    assert "__place" in text
+    assert not re.search(r"hashpartitioning\(coalesce\(k[^\n]*__segment", text)
+    # The windows' inputs, some dozens of columns, are worked out after the exchange of the rows.
+    assert "REPARTITION_BY_COL" in text
+
+
+def test_no_task_reads_a_whole_key_for_its_bounds(history, capsys):
+    text = plan(g.with_segments(history, "k", "d", hot_rows=5, segments=4), capsys)
+    assert "partial_percentile_approx" in text and "LeftSemi" not in text

@@ -25,6 +25,7 @@ from tidemark.operators.joins import as_list, attach
 #: Rows of a key from which on its history is cut, and into how many segments.
 HOT_ROWS, SEGMENTS = 1_000_000, 256
 SEGMENT = "__segment"
+_PLACE = "__place"
 _LINE = 16
 
 
@@ -68,10 +69,10 @@ def with_segments(
     ``order`` is a number, date or timestamp; rows without one are in the first segment.
     """
     keys = as_list(keys)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > hot_rows)
     steps = [i / segments for i in range(1, segments)] or [0.5]
     bounds = F.percentile_approx(order, steps, 20 * segments)
-    found = attach(df, hot, keys, "left_semi").groupBy(*keys).agg(bounds.alias("__bounds"))
+    # Counted and sketched at once, before the exchange: no task reads the rows of a whole key.
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), bounds.alias("__bounds")).where(F.col("__rows") > hot_rows)
     # In lines, so that a row is compared with two short lists and not with all bounds.
     lines = F.array(*[F.slice("__bounds", i + 1, _LINE) for i in range(0, len(steps), _LINE)])
     out = attach(df, found.select(*keys, lines.alias("__lines")), keys)
@@ -99,8 +100,9 @@ def compare_in_segments(
     the last close of an earlier period, and the latest value of the whole key.
     """
     keys = as_list(keys)
-    rows = with_segments(df, keys, order, hot_rows, segments)
-    own = Window.partitionBy(*keys, SEGMENT)
+    # Dealt before the windows' inputs are worked out, which are many times the rows.
+    rows = _placed(with_segments(df, keys, order, hot_rows, segments), keys).drop(SEGMENT).repartition(_PLACE)
+    own = Window.partitionBy(_PLACE)
     ordered = own.orderBy(order)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     depth = max((x.n for x in lags), default=0)
@@ -109,17 +111,19 @@ def compare_in_segments(
 
     period = {u: p.period_of(p.day_of(order), u) for u in units}
     tails = [F.lag(b, n).over(ordered).alias(f"__lag{n}_{b}") for b in bys for n in range(1, depth + 1)]
-    made = [F.row_number().over(ordered).alias("__n"), F.lead(F.lit(1)).over(ordered).isNull().alias("__last")]
+    # In one expression, as a filter on the segment alone would make the states' exchange another.
+    closes = F.when(F.col(_PLACE)[SEGMENT].isNotNull(), F.lead(F.lit(1)).over(ordered).isNull())
+    made = [F.row_number().over(ordered).alias("__n"), closes.alias("__closing")]
     made += [period[u].alias(f"__period_{u}") for u in units]
     made += [F.first(period[u]).over(running).alias(f"__first_{u}") for u in units]
     for i, x in enumerate(observed):
         made.append(F.last(_closing(F.lag(period[x.unit]).over(ordered), F.lag(x.by).over(ordered), period[x.unit], x), ignorenulls=True).over(running).alias(f"__closed{i}"))
     for i, x in enumerate(picks):
         made.append(F.max(F.when(x.inside, F.struct(F.col(order).alias("at"), F.col(x.by).alias("value")))).over(own).alias(f"__picked{i}"))
+        made.append(F.max(x.shown).over(own).alias(f"__shown{i}"))
     rows = rows.select("*", *tails, *made)
 
-    states = _before(rows, keys, bys, depth, picks, observed)
-    out = attach(rows, states, [*keys, SEGMENT]) if states is not None else rows
+    out = rows.join(_before(rows, keys, bys, depth, picks, observed), _PLACE, "left")
     final = []
     for x in lags:
         here, reach = F.col(f"__lag{x.n}_{x.by}"), F.lit(x.n) - F.col("__n")
@@ -135,6 +139,12 @@ def compare_in_segments(
     return out.select(*df.columns, *final)
 
 
+def _placed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """With key and segment as one value, by which windows and joins are dealt alike: rows go
+    on to a join where the window left them.  Nulls in it are equal."""
+    return rows.withColumn(_PLACE, F.struct(*keys, SEGMENT))
+
+
 def _closing(before: Column, value: Column, period: Column, x: Observed) -> Column:
     """The close of the period before, in the first row of a period."""
     known = F.lit(True) if x.exact else value.isNotNull()
@@ -145,19 +155,30 @@ def _before(
     rows: DataFrame, keys: list[str], bys: list[str], depth: int, picks: Sequence[Pick], observed: Sequence[Observed]
 ) -> DataFrame:
     """What stands before each segment, from the last rows of the segments."""
-    closing = rows.where(F.col(SEGMENT).isNotNull() & F.col("__last"))
+    closing = rows.where("__closing")
+    mine = lambda b: F.slice(F.array(b, *[f"__lag{n}_{b}" for n in range(1, depth)]), F.lit(1), F.least("__n", F.lit(depth)))
+    closing = closing.select(
+        *keys,
+        F.col(_PLACE)[SEGMENT].alias(SEGMENT),
+        *[mine(b).alias(f"__mine_{b}") for b in bys],
+        *[x for i in range(len(picks)) for x in (f"__picked{i}", f"__shown{i}")],
+        *[f"__closed{i}" for i in range(len(observed))],
+        *[f"__first_{u}" for u in sorted({x.unit for x in observed})],
+        *[F.struct(F.col(f"__period_{x.unit}").alias("period"), F.col(x.by).alias("value")).alias(f"__end{i}") for i, x in enumerate(observed)],
+    ).repartition(*keys)
     earlier = Window.partitionBy(*keys).orderBy(SEGMENT)
     upto = earlier.rowsBetween(Window.unboundedPreceding, -1)
     made = []
     for b in bys:
-        mine = F.slice(F.array(b, *[f"__lag{n}_{b}" for n in range(1, depth)]), F.lit(1), F.least("__n", F.lit(depth)))
+        own = F.col(f"__mine_{b}")
         # A segment has a row at least, so the values reached for lie in so many segments.
-        back = [F.coalesce(F.lag(mine, n).over(earlier), F.slice(mine, 1, 0)) for n in range(1, depth + 1)]
+        back = [F.coalesce(F.lag(own, n).over(earlier), F.slice(own, 1, 0)) for n in range(1, depth + 1)]
         made.append(F.slice(F.concat(*back), 1, depth).alias(f"__tail_{b}"))
-    for i in range(len(picks)):
-        made.append(F.max(f"__picked{i}").over(Window.partitionBy(*keys)).alias(f"__whole{i}"))
+    for i in range(len(picks)):  # for the segments that show it
+        whole = F.max(f"__picked{i}").over(Window.partitionBy(*keys))
+        made.append(F.when(F.col(f"__shown{i}"), whole).alias(f"__whole{i}"))
     for i, x in enumerate(observed):
-        last = F.lag(F.struct(F.col(f"__period_{x.unit}").alias("period"), F.col(x.by).alias("value"))).over(earlier)
+        last = F.lag(f"__end{i}").over(earlier)
         made.append(_closing(last["period"], last["value"], F.col(f"__first_{x.unit}"), x).alias(f"__entry{i}"))
     found = closing.select(*keys, SEGMENT, *[f"__closed{i}" for i in range(len(observed))], *made)
     kept = [c for c in found.columns if c.startswith(("__tail_", "__whole"))]
@@ -165,7 +186,7 @@ def _before(
     for i in range(len(observed)):
         after = F.coalesce(f"__closed{i}", f"__entry{i}")
         closes.append(F.coalesce(f"__entry{i}", F.last(after, ignorenulls=True).over(upto)).alias(f"__before{i}"))
-    return found.select(*keys, SEGMENT, *kept, *closes)
+    return _placed(found.select(*keys, SEGMENT, *kept, *closes), keys).drop(*keys, SEGMENT)
 
 
 def nearest_known(
