@@ -10,6 +10,7 @@ from querybook.flags import active_at, flags_sql, in_period
 from querybook.shaping import _CRC_STEP
 from tidemark.functions import periods as p
 from tidemark.operators.comparison import past_name
+from tidemark.operators.joins import dealt
 from tidemark.plans import accounts as a
 from tidemark.plans import holdings as h
 from tidemark.plans.credits import loan_commitments
@@ -79,11 +80,12 @@ SELECT base.*, {_filled('notified', 'notified')}, """
     + " FROM base LEFT JOIN notified USING (number) LEFT JOIN used ON used.account = base.account",
 )
 def plan_overdraft_flags(t: Tables) -> DataFrame:
-    ends = t.lineitem.select(F.col("l_orderkey").alias("number"), F.col("l_shipdate").alias("until"))
-    agreed = t.orders.select(
+    ends = dealt(t.lineitem.select(F.col("l_orderkey").alias("number"), F.col("l_shipdate").alias("until")), "number")
+    orders = t.orders.select(
         F.col("o_orderkey").alias("number"), F.col("o_custkey").alias("account"),
         F.col("o_orderstatus").alias("state"), F.col("o_orderdate").alias("since"),
-    ).join(ends, "number")
+    )
+    agreed = dealt(orders, "number").join(ends, "number")
     balances = t.orders.select(
         F.col("o_custkey").alias("account"), F.col("o_orderdate").alias("day"),
         (F.col("o_totalprice") - 200000).alias("debit"),

@@ -55,3 +55,13 @@ def test_rows_in_segments_stay_where_the_windows_left_them(history, capsys):
 def test_no_task_reads_a_whole_key_for_its_bounds(history, capsys):
     text = plan(g.with_segments(history, "k", "d", hot_rows=5, segments=4), capsys)
     assert "partial_percentile_approx" in text and "LeftSemi" not in text
+
+
+@pytest.mark.parametrize("name", ["plan_overdraft_flags"])
+def test_wide_groups_are_dealt_by_number(spark, name, tmp_path, capsys):
+    stamp = "TIMESTAMP'2001-06-15'"
+    spark.sql(f"SELECT 1L o_orderkey, 2L o_custkey, 'O' o_orderstatus, 5D o_totalprice, {stamp} o_orderdate, '1-URGENT' o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(f"SELECT 1L l_orderkey, {stamp} l_shipdate, 'A' l_returnflag, 1 l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = QUERIES[name](spark, str(tmp_path))
+    text = plan(out, capsys)
+    assert len(re.findall("REPARTITION_BY_NUM", text)) >= 2 and out.count() == 1
