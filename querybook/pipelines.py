@@ -15,6 +15,7 @@ from tidemark.operators import comparison as c
 from tidemark.operators import money as m
 from tidemark.operators import objectives as o
 from tidemark.operators.comparison import past_name
+from tidemark.operators.joins import dealt
 from tidemark.operators.shaping import Dimension
 from tidemark.plans import balances as b
 from tidemark.plans import customers as cu
@@ -613,9 +614,10 @@ def plan_activity_score(t: Tables) -> DataFrame:
     events = t.orders.select(F.col("o_custkey").alias("customer"), day.alias("day"), "o_orderpriority", "o_orderstatus")
     channels = literal_rows(t.spark, "o_orderpriority string, channel string", CHANNELS)
     owners = t.orders.select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("customer"))
-    holdings = t.lineitem.select(
+    items = t.lineitem.select(
         F.col("l_orderkey").alias("contract"), F.col("l_returnflag").alias("family"), F.col("l_linenumber").alias("product")
-    ).join(owners, "contract")
+    )
+    holdings = dealt(items, "contract").join(dealt(owners, "contract"), "contract")
     steps = [0.0, 0.5, 1.0, 1.5]
     rules = [(i, x, d, e, int(2 * (i + x + d + e))) for i in (0.0, 1.0) for x in steps for d in (0.0, 0.5) for e in steps]
     schema = ", ".join([*(f"{score} double" for score in sc.SCORES), "level int"])

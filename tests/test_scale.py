@@ -57,7 +57,7 @@ def test_no_task_reads_a_whole_key_for_its_bounds(history, capsys):
     assert "partial_percentile_approx" in text and "LeftSemi" not in text
 
 
-@pytest.mark.parametrize("name", ["plan_overdraft_flags"])
+@pytest.mark.parametrize("name", ["plan_overdraft_flags", "plan_activity_score"])
 def test_wide_groups_are_dealt_by_number(spark, name, tmp_path, capsys):
     stamp = "TIMESTAMP'2001-06-15'"
     spark.sql(f"SELECT 1L o_orderkey, 2L o_custkey, 'O' o_orderstatus, 5D o_totalprice, {stamp} o_orderdate, '1-URGENT' o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
