@@ -23,26 +23,6 @@ def history(spark):
     return spark.createDataFrame(rows, "k int, n int, v int").select("k", F.expr("date_add(DATE'2023-01-01', n)").alias("d"), "v")
 
 
-def test_links_to_elements_that_lead_nowhere_are_left_before_the_join(spark, capsys):
-    def made(rows, schema):
-        return spark.createDataFrame(rows, schema)
-
-    ended, valid = "1999-01-01", "2030-01-01"
-    accounts = made([(1, 10), (1, 11), (2, 11), (None, 10)], "account int, element int")
-    links = made([(10, 11), (10, 12), (10, 13), (11, 14), (11, None)], "element int, linked int")
-    elements = made([(10, 1, "p"), (11, 1, "p"), (12, 1, "q"), (13, 2, "p"), (14, 3, "p")], "element int, contract int, product string")
-    contracts = made([(1, "a"), (2, "b"), (3, "a")], "contract int, contract_type string")
-    holders = made([(1, 7, True)], "contract int, holder int, main boolean")
-    types = made([("a", valid), ("b", ended)], "contract_type string, day string").selectExpr("contract_type", "date(day) AS dfval")
-    products = made([("p", valid), ("q", ended)], "product string, day string").selectExpr("product", "date(day) AS dfval")
-    out = contract_graph(accounts, links, elements, contracts, holders, types, products, "2000-01-01")
-    found = {(r.account, r.element, r.contract, r.product, r.contract_type, r.holder) for r in out.collect()}
-    rest = {10: (1, "p", "a", 7), 11: (1, "p", "a", 7), 14: (3, "p", "a", None)}
-    assert found == {(a, e, *rest[e]) for a, e in [(1, 10), (1, 11), (1, 14), (2, 11), (2, 14), (None, 10), (None, 11)]}
-    assert out.count() == len(found)
-    assert len(re.findall("REPARTITION_BY_NUM", plan(out, capsys))) >= 2
-
-
 def test_rows_in_segments_stay_where_the_windows_left_them(history, capsys):
     cut = c.propagate_balances(history, "v", "2023-02-10", "k", "d", observed=["quarter"], hot_rows=5)
     text = plan(cut, capsys)
@@ -57,6 +37,11 @@ def test_no_task_reads_a_whole_key_for_its_bounds(history, capsys):
     assert "partial_percentile_approx" in text and "LeftSemi" not in text
 
 
+def test_nearest_known_deals_the_stream_by_number(history, capsys):
+    text = plan(g.nearest_known(history, history.where("v % 3 = 0").withColumnRenamed("v", "w"), "k", "d", ["w"], hot_rows=5), capsys)
+    assert re.search(r"hashpartitioning\(__place[^\n]*REPARTITION_BY_NUM", text)
+
+
 @pytest.mark.parametrize("name", ["plan_overdraft_flags", "plan_activity_score"])
 def test_wide_groups_are_dealt_by_number(spark, name, tmp_path, capsys):
     stamp = "TIMESTAMP'2001-06-15'"
@@ -65,3 +50,23 @@ def test_wide_groups_are_dealt_by_number(spark, name, tmp_path, capsys):
     out = QUERIES[name](spark, str(tmp_path))
     text = plan(out, capsys)
     assert len(re.findall("REPARTITION_BY_NUM", text)) >= 2 and out.count() == 1
+
+
+def test_links_to_elements_that_lead_nowhere_are_left_before_the_join(spark, capsys):
+    def made(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    ended, valid = "1999-01-01", "2030-01-01"
+    accounts = made([(1, 10), (1, 11), (2, 11), (None, 10)], "account int, element int")
+    links = made([(10, 11), (10, 12), (10, 13), (11, 14), (11, None)], "element int, linked int")
+    elements = made([(10, 1, "p"), (11, 1, "p"), (12, 1, "q"), (13, 2, "p"), (14, 3, "p")], "element int, contract int, product string")
+    contracts = made([(1, "a"), (2, "b"), (3, "a")], "contract int, contract_type string")
+    holders = made([(1, 7, True)], "contract int, holder int, main boolean")
+    types = made([("a", valid), ("b", ended)], "contract_type string, day string").selectExpr("contract_type", "date(day) AS dfval")
+    products = made([("p", valid), ("q", ended)], "product string, day string").selectExpr("product", "date(day) AS dfval")
+    out = contract_graph(accounts, links, elements, contracts, holders, types, products, "2000-01-01")
+    found = {(r.account, r.element, r.contract, r.product, r.contract_type, r.holder) for r in out.collect()}
+    rest = {10: (1, "p", "a", 7), 11: (1, "p", "a", 7), 14: (3, "p", "a", None)}
+    assert found == {(a, e, *rest[e]) for a, e in [(1, 10), (1, 11), (1, 14), (2, 11), (2, 14), (None, 10), (None, 11)]}
+    assert out.count() == len(found)
+    assert len(re.findall("REPARTITION_BY_NUM", plan(out, capsys))) >= 2

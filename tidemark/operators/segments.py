@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import periods as p
-from tidemark.operators.joins import as_list, attach
+from tidemark.operators.joins import as_list, attach, dealt
 
 #: Rows of a key from which on its history is cut, and into how many segments.
 HOT_ROWS, SEGMENTS = 1_000_000, 256
@@ -216,9 +216,10 @@ def nearest_known(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in shape], F.lit(0).alias("__side"), *[here(v).alias(f"__{v}") for v in values]
     )
     asks = df.select(*keys, order, F.lit(1).alias("__side"), F.struct(*df.columns).alias("__row"))
-    stream = with_segments(quotes.unionByName(asks, allowMissingColumns=True), keys, order, hot_rows, segments)
+    merged = with_segments(quotes.unionByName(asks, allowMissingColumns=True), keys, order, hot_rows, segments)
+    stream = dealt(_placed(merged, keys), _PLACE)
 
-    own = Window.partitionBy(*keys, SEGMENT)
+    own = Window.partitionBy(_PLACE)
     behind = own.orderBy(F.col(order).asc_nulls_first(), "__side")
     ahead = own.orderBy(F.col(order).desc_nulls_last(), "__side")
     back = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -227,19 +228,21 @@ def nearest_known(
     )
 
     at = lambda v: F.when(F.col(f"__{v}").isNotNull(), F.struct(F.col(order).alias("at"), F.col(f"__{v}").alias("known")))
-    states = stream.where(F.col(SEGMENT).isNotNull()).groupBy(*keys, SEGMENT).agg(
+    cut = merged.where(F.col(SEGMENT).isNotNull())
+    # Only known rows are sorted for the states; the others tell which segments there are.
+    told = cut.where("__side = 0").select(*keys, SEGMENT, order, *[f"__{v}" for v in values])
+    states = cut.select(*keys, SEGMENT).distinct().unionByName(told, allowMissingColumns=True).groupBy(*keys, SEGMENT).agg(
         *[F.max(at(v)).alias(f"__max_{v}") for v in values], *[F.min(at(v)).alias(f"__min_{v}") for v in values]
     )
     whole = Window.partitionBy(*keys).orderBy(SEGMENT)
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
     after = whole.rowsBetween(1, Window.unboundedFollowing)
-    outside = states.select(
-        *keys,
-        SEGMENT,
+    outside = _placed(states, keys).select(
+        _PLACE,
         *[F.last(f"__max_{v}", ignorenulls=True).over(before)["known"].alias(f"__before_{v}") for v in values],
         *[F.first(f"__min_{v}", ignorenulls=True).over(after)["known"].alias(f"__after_{v}") for v in values],
     )
-    out = attach(rows.where("__side = 1"), outside, [*keys, SEGMENT])
+    out = rows.where("__side = 1").join(outside, _PLACE, "left")
 
     def nearest(v: str) -> Column:
         following = [F.col(f"__next_{v}"), F.col(f"__after_{v}")]
