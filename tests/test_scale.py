@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from querybook import QUERIES
 from tidemark.operators import comparison as c
 from tidemark.operators import segments as g
+from tidemark.operators import shaping
 from tidemark.plans.dimensions import contract_graph
 
 
@@ -70,3 +71,46 @@ def test_links_to_elements_that_lead_nowhere_are_left_before_the_join(spark, cap
     assert found == {(a, e, *rest[e]) for a, e in [(1, 10), (1, 11), (1, 14), (2, 11), (2, 14), (None, 10), (None, 11)]}
     assert out.count() == len(found)
     assert len(re.findall("REPARTITION_BY_NUM", plan(out, capsys))) >= 2
+
+
+def test_product_of_a_key_is_written_small(spark, tmp_path):
+    """Rows met by the same many rows repeat them at short distance, whatever order they come in."""
+    left = spark.range(80).select("id", (F.col("id") % 4).alias("j"))
+    second = spark.range(24_000).select((F.col("id") % 4).alias("j"), F.repeat(F.md5(F.col("id").cast("string")), F.lit(2)).alias("v"))
+    none = second.where("false").withColumnRenamed("j", "k")
+    out = shaping.enrich_with_fallback(left, none, second, {"id": "k"}, {"j": "j"}, ["v"])
+    out.write.parquet(f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 80 * 6_000
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 5e6
+
+
+def test_a_key_is_matched_in_shares(spark, monkeypatch, capsys):
+    monkeypatch.setattr(shaping, "SECOND_SHARE", 2)
+    monkeypatch.setattr(shaping, "LEFT_SHARE", 2)
+    left = [(i, i % 3 or None, i % 2) for i in range(20)] + [(3, 0, 1), (3, 0, 1), (21, 9, 9), (None, 1, 1), (None, 1, 1)]
+    first = [(3, "a"), (3, None), (5, "b"), (None, "c")]
+    second = [(i % 3 or None, i % 2, f"v{i}") for i in range(24)] + [(1, 1, "v1"), (1, 1, None)]
+    frame = spark.createDataFrame(left, "k int, j int, l int")
+    out = shaping.enrich_with_fallback(
+        frame,
+        spark.createDataFrame(first, "k int, v string"),
+        spark.createDataFrame(second, "j int, l int, v string"),
+        {"k": "k"}, {"j": "j", "l": "l"}, ["v"],
+    )
+    want = []
+    for k, j, l in left:
+        known = [v for f, v in first if k is not None and f == k]
+        other = [v for x, y, v in second if j is not None and (x, y) == (j, l)]
+        want += [(k, j, l, v, 1) for v in known] or [(k, j, l, v, 2) for v in other] or [(k, j, l, None, None)]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert re.search(r"hashpartitioning\(j[^\n]*__share[^\n]*REPARTITION_BY_NUM", plan(out, capsys))
+
+
+def test_texts_that_equal_one_number_meet_its_rows_once(spark):
+    frame = spark.createDataFrame([(1, "1"), (2, "01"), (3, "x2")], "k int, j string")
+    second = spark.createDataFrame([(1, "a"), (1, "b")], "j int, v string")
+    none = second.where("false").withColumnRenamed("j", "k")
+    with_numbers = frame.withColumn("j", F.expr("try_cast(j AS double)"))
+    for df in (frame.where("k < 3"), with_numbers):
+        out = shaping.enrich_with_fallback(df, none, second, {"k": "k"}, {"j": "j"}, ["v"]).where("v is not null")
+        assert sorted((r.k, r.v) for r in out.collect()) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
