@@ -57,3 +57,53 @@ def test_null_ids_copies_and_empty_table(frame):
     out = sorted(map(tuple, linked_vectors(frame(data)).collect()), key=str)
     assert out == sorted([(None, 0, None, True), (5, 2, 3, False), (3, 2, 3, True), (4, 2, 3, False)], key=str)
     assert linked_vectors(frame([])).collect() == []
+
+
+def test_vectors_are_not_sent_to_where_they_are_compared(frame, spark, monkeypatch):
+    """What is written of links is worked out without an exchange, and holds an id once a task."""
+    plans, kept, cut = {}, {}, embeddings.cut
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        kept[name] = cut(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(embeddings, "cut", noted)
+    monkeypatch.setattr(embeddings, "TILE", 8)
+    data = vectors() + [(5000 + i, [1.0, float(i)]) for i in range(20)]
+    assert set(map(tuple, linked_vectors(frame(data)).collect())) == brute(data, 0.9)
+    assert "Exchange" not in plans["found"] and "CartesianProduct" in plans["found"]
+    tiles = [(r.no, r.dim, len(r.reps) // 8) for r in kept["vectors"].collect()]
+    assert len({no for no, _, _ in tiles}) == len(tiles) and max(n for *_, n in tiles) <= 8
+    assert sum(n for *_, n in tiles) == len({tuple(v) for _, v in data})
+    pairs = [frozenset(r) for r in embeddings._pairs(kept["vectors"]).select("no", "other_no").collect()]
+    want = {frozenset((a, b)) for a, m, _ in tiles for b, n, _ in tiles if m == n}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_sums_and_forest_are_held_in_bounds(monkeypatch):
+    data = {i: v for i, v in vectors()}
+    ids = np.array(sorted(data), np.int64)
+    raw = np.array([data[i] for i in ids.tolist()], np.float32)
+    side = embeddings._Side.of(64, [(ids.tobytes(), np.ones(len(ids), np.int64).tobytes(), raw.tobytes())])
+    half = np.arange(200), np.arange(200, len(ids))
+    got = []
+    for held, rows, leaf in ((1 << 20, 1 << 15, 256), (5, 10, 7)):
+        monkeypatch.setattr(embeddings, "HELD", held)
+        monkeypatch.setattr(embeddings, "CELL_ROWS", rows)
+        monkeypatch.setattr(embeddings, "LEAF", leaf)
+        found = embeddings._Found()
+        embeddings._linked(side, *half, True, 0.2, 0.9, found)
+        found.sum_up()
+        ((u, n),), ((a, b),) = found.sums, found.forest
+        got.append((dict(zip(u.tolist(), n.tolist(), strict=True)), union(list(zip(a.tolist(), b.tolist(), strict=True)))))
+    unit = side.unit[half[0]] @ side.unit[half[1]].T >= 0.9
+    want = dict(zip(ids.tolist(), np.concatenate([unit.sum(axis=1), unit.sum(axis=0)]).tolist(), strict=True))
+    assert got[0] == got[1] and got[0][0] == {i: n for i, n in want.items() if n}
+
+
+def test_an_id_of_several_vectors(frame):
+    """Its rows share the sums of links with others, and are not linked with each other."""
+    data = [(1, [1.0, 0.0]), (1, [1.0, 0.05]), (2, [1.0, 0.01]), (3, [0.0, 1.0])]
+    out = sorted(map(tuple, linked_vectors(frame(data)).collect()))
+    assert out == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]

@@ -7,30 +7,35 @@ part of it, proportional to the block's width, in one block at least.  So each b
 range-joined under its part, and the union of what the blocks find is verified by the exact
 cosine in double precision.
 
-A block's range join is a grid over its first coordinates: a vector is at home in one cell
-and visits the cells its range reaches.  Inside a task, homes are halved along their longest
-sides into small boxes, and only visitors within range of a box are compared with its homes;
-a pair that several blocks find counts in the first of them.  Only sums of links and
-a spanning forest of each tile's links leave a task, never the pairs.  Equal vectors are
-one class with a number.
+Distinct vectors are written once, in tiles, and every pair of tiles is a task's that reads both
+from there: no vector is sent to where it is compared, so that files and exchanges grow as the
+table does, though the pairs grow with its square.  Inside a task, a block's range join halves
+the vectors of one tile along their longest sides into small boxes, and only those of the other
+within range of a box are compared with what is in it; a pair that several blocks find counts
+in the first of them.  Only sums of links and a spanning forest of a task's links leave it, never
+the pairs.  Equal vectors are one class with a number.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import textops as T
 from tidemark.llm.components import components
-from tidemark.llm.groups import by_group, tiled
 from tidemark.llm.shared import cut
 
 WIDTH = 8
+#: Vectors of a tile at most, those of one that are compared with the boxes of another at a time,
+#: and vectors of a box.
 TILE, CELL_ROWS, LEAF = 32_768, 32_768, 256
+#: Entries of a task's sums and links that are held before they are summed up.
+HELD = 1 << 20
 _SLACK = 1e-5
 _rotations: dict[int, np.ndarray] = {}
 
@@ -54,68 +59,68 @@ def turned(vectors: np.ndarray) -> np.ndarray:
     return (unit @ rotation(vectors.shape[1])).astype(np.float32)
 
 
-def visits(points: np.ndarray, radius: float, axes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, cell, whether the row is at home there) of all cells of side ``2 * radius``
-    that the range of a point reaches."""
-    rows = np.arange(len(points))
-    cell = np.zeros(len(points), np.uint64)
-    gap = np.zeros(len(points))
-    home = np.ones(len(points), bool)
-    side = 2 * radius
-    for axis in range(min(axes, points.shape[1])):
-        x = points[rows, axis].astype(np.float64)
-        own = np.floor(x / side)
-        parts = []
-        for step in (-1, 0, 1):
-            at = own + step
-            away = np.maximum(np.maximum(at * side - x, x - (at + 1) * side), 0)
-            reach = gap + away * away
-            keep = reach <= radius * radius * (1 + _SLACK) + _SLACK
-            key = T.mix(cell * np.uint64(31) + at.astype(np.int64).view(np.uint64))
-            parts.append((rows[keep], key[keep], reach[keep], (home & (step == 0))[keep]))
-        rows, cell, gap, home = (np.concatenate(p) for p in zip(*parts, strict=True))
-    return rows, cell.view(np.int64), home
-
-
-_PLACED = "dim int, block int, cell long, home boolean, rep long, number long, vector binary"
-
-
-def _place(budget: float, axes: int):
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_TILES = "no long, dim int, reps binary, numbers binary, vectors binary"
+
+
+def _in_tiles(most: int):
+    """The classes of a task in tiles of up to ``most`` vectors of one size, numbered apart."""
+
+    def in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, size = TaskContext.get().partitionId(), 0, 0
+        held: dict[int, list[tuple[np.ndarray, np.ndarray, bytes]]] = {}
+
+        def tiles() -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            for dim, some in held.items():
+                columns = [
+                    pa.array([made << 32 | part], pa.int64()),
+                    pa.array([dim], pa.int32()),
+                    *(pa.array([np.concatenate([x[i] for x in some]).tobytes()], pa.binary()) for i in (0, 1)),
+                    pa.array([b"".join(x[2] for x in some)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["no", "dim", "reps", "numbers", "vectors"])
+                made += 1
+            held.clear()
+
         for batch in batches:
-            raw = batch.column("vector").to_pylist()
-            sizes = np.array([len(x) for x in raw])
-            for size in np.unique(sizes):
-                some = np.flatnonzero(sizes == size)
-                dim = int(size) // 4
-                vectors = np.frombuffer(b"".join([raw[i] for i in some]), np.float32).reshape(-1, dim)
-                points = turned(vectors.astype(np.float64))
-                for b, part in enumerate(subspaces(dim)):
-                    radius = np.sqrt(budget * (part.stop - part.start) / dim)
-                    rows, cell, home = visits(points[:, part], radius, axes)
-                    taken = batch.take(pa.array(some[rows]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(rows), dim, np.int32)),
-                            pa.array(np.full(len(rows), b, np.int32)),
-                            pa.array(cell),
-                            pa.array(home),
-                            taken.column("rep"),
-                            taken.column("number"),
-                            taken.column("vector"),
-                        ],
-                        names=["dim", "block", "cell", "home", "rep", "number", "vector"],
-                    )
-
-    return place
+            for at in range(0, batch.num_rows, most):
+                some = batch.slice(at, most)
+                if size + some.num_rows > most:
+                    yield from tiles()
+                    size = 0
+                size += some.num_rows
+                raw = some.column("vector").to_pylist()
+                dims = np.array([len(x) // 4 for x in raw])
+                for dim in np.unique(dims).tolist():
+                    own = np.flatnonzero(dims == dim)
+                    ids, numbers = (some.column(c).to_numpy()[own] for c in ("rep", "number"))
+                    held.setdefault(dim, []).append((ids, numbers, b"".join([raw[i] for i in own])))
+        yield from tiles()
+
+    return in_tiles
+
+
+def _from_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of tiles, with a digest for the vector."""
+    for batch in batches:
+        for dim, reps, numbers, vectors in zip(*(batch.column(c).to_pylist() for c in ("dim", "reps", "numbers", "vectors")), strict=True):
+            digests = [hashlib.sha256(vectors[i : i + 4 * dim]).digest() for i in range(0, len(vectors), 4 * dim)]
+            columns = [pa.array(np.frombuffer(reps, np.int64)), pa.array(np.frombuffer(numbers, np.int64)), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "number", "digest"])
 
 
 class _Side:
-    """The vectors of a task: ids, numbers, unit vectors, turned vectors."""
+    """The vectors of tiles: ids, numbers, unit vectors, turned vectors."""
 
     def __init__(self, ids, numbers, unit, points) -> None:
         self.ids, self.numbers, self.unit, self.points = ids, numbers, unit, points
 
+    @classmethod
+    def of(cls, dim: int, tiles: list[tuple]) -> _Side:
+        ids, numbers = (np.frombuffer(b"".join([t[i] for t in tiles]), np.int64) for i in (0, 1))
+        vectors = np.frombuffer(b"".join([t[2] for t in tiles]), np.float32).reshape(-1, dim).astype(np.float64)
+        return cls(ids, numbers, vectors / np.linalg.norm(vectors, axis=1, keepdims=True), turned(vectors))
+
 
 def _near(a: np.ndarray, b: np.ndarray, budget: float) -> np.ndarray:
     """Which pairs are within a squared distance, by one product: |a|^2 + |b|^2 - 2ab."""
@@ -185,48 +190,95 @@ def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[below], ids[label[below]]
 
 
-def _links(budget: float, least: float):
-    def links(table: pa.Table) -> pa.Table | None:
-        block, dim = table.column("block")[0].as_py(), table.column("dim")[0].as_py()
-        tile_a, tile_b = table.column("tile_a")[0].as_py(), table.column("tile_b")[0].as_py()
-        raw = b"".join(table.column("vector").to_pylist())
-        vectors = np.frombuffer(raw, np.float32).reshape(-1, dim).astype(np.float64)
-        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        every = _Side(table.column("rep").to_numpy(), table.column("number").to_numpy(), unit, turned(vectors))
-        home = np.asarray(table.column("home"))
-        own = table.column("tile_own").to_numpy()
-        count = np.zeros(table.num_rows, np.int64)
-        u, v = [], []
-        own_part = subspaces(dim)[block]
-        mine = np.ascontiguousarray(every.points[:, own_part])
+class _Found:
+    """Links of some vectors: their sums by id, and a spanning forest."""
+
+    def __init__(self) -> None:
+        self.sums: list[tuple[np.ndarray, np.ndarray]] = []
+        self.forest: list[tuple[np.ndarray, np.ndarray]] = []
+        self._held = 0
+
+    def add(self, every: _Side, count: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+        linked = np.flatnonzero(count)
+        self.sums.append((every.ids[linked], count[linked]))
+        self.forest.append(_forest(u, v))
+        self._held += len(linked) + len(self.forest[-1][0])
+        if self._held > HELD:
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        if self.sums:
+            ids, counts = (np.concatenate(x) for x in zip(*self.sums, strict=True))
+            distinct, place = np.unique(ids, return_inverse=True)
+            total = np.zeros(len(distinct), np.int64)
+            np.add.at(total, place, counts)
+            self.sums = [(distinct, total)]
+            self.forest = [_forest(*(np.concatenate(x) for x in zip(*self.forest, strict=True)))]
+            # What is left may be as much; it is summed up again when as much again has come.
+            self._held = 0
+
+
+def _linked(every: _Side, homes: np.ndarray, guests: np.ndarray, both: bool, budget: float, least: float, found: _Found) -> None:
+    """Adds the links of ``homes`` with ``guests``, for the guests only if ``both``: those of one
+    tile meet in either order."""
+    dim = every.points.shape[1]
+    for block, own in enumerate(subspaces(dim)):
+        mine = np.ascontiguousarray(every.points[:, own])
         limit = budget * mine.shape[1] / dim * (1 + _SLACK) + _SLACK
-        for here, there in {(tile_a, tile_b), (tile_b, tile_a)}:
-            homes, guests = np.flatnonzero(home & (own == here)), np.flatnonzero(own == there)
-            if len(homes) == 0:
-                continue
-            for some, near in _boxes(mine, homes, guests, limit):
+        count, u, v = np.zeros(len(every.ids), np.int64), [], []
+        for at in range(0, len(guests), CELL_ROWS):
+            for some, near in _boxes(mine, homes, guests[at : at + CELL_ROWS], limit):
                 x, y = _verified(every, some, near, block, budget, least)
                 if len(x):
                     np.add.at(count, x, every.numbers[y])
+                    if both:
+                        np.add.at(count, y, every.numbers[x])
                     a, b = _forest(every.ids[x], every.ids[y])
                     u.append(a)
                     v.append(b)
-        linked = np.flatnonzero(count)
-        if len(linked) == 0:
-            return None
-        a, b = _forest(np.concatenate(u), np.concatenate(v))
-        return pa.table(
-            {
-                "u": pa.array(np.concatenate([every.ids[linked], a])),
-                "v": pa.array(np.concatenate([np.full(len(linked), -1), b])),
-                "links": pa.array(np.concatenate([count[linked], np.zeros(len(a), np.int64)])),
-                "forest": pa.array(np.arange(len(linked) + len(a)) >= len(linked)),
-            }
-        )
+        if u:
+            found.add(every, count, np.concatenate(u), np.concatenate(v))
+
+
+def _links(budget: float, least: float):
+    """The sums and the forest of all pairs of tiles of a task."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Found()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                tiles = [tuple(row[c] for c in ("reps", "numbers", "vectors"))]
+                if row["no"] != row["other_no"]:
+                    tiles.append(tuple(row[f"other_{c}"] for c in ("reps", "numbers", "vectors")))
+                every = _Side.of(row["dim"], tiles)
+                n = len(tiles[0][0]) // 8
+                first = np.arange(n)
+                second = np.arange(n, len(every.ids)) if len(tiles) > 1 else first
+                _linked(every, first, second, len(tiles) > 1, budget, least, found)
+        found.sum_up()
+        for (ids, counts), (a, b) in zip(found.sums, found.forest, strict=True):
+            columns = [
+                pa.array(np.concatenate([ids, a])),
+                pa.array(np.concatenate([np.full(len(ids), -1), b])),
+                pa.array(np.concatenate([counts, np.zeros(len(a), np.int64)])),
+                pa.array(np.arange(len(ids) + len(a)) >= len(ids)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "links", "forest"])
 
     return links
 
 
+def _pairs(tiles: DataFrame) -> DataFrame:
+    """Every two tiles of vectors of one size once, and each with itself, in as many tasks as two
+    scans of the tiles have together: each reads its tiles anew, and nothing is exchanged."""
+    other = tiles.select([F.col(c).alias(f"other_{c}") for c in tiles.columns]).hint("shuffle_replicate_nl")
+    no, with_no = F.col("no"), F.col("other_no")
+    # The lower number comes first only if the sum is even, so that work is spread over all tasks.
+    once = (no == with_no) | (no != with_no) & ((no < with_no) == ((no + with_no) % 2 == 0))
+    return tiles.join(other, once & (F.col("dim") == F.col("other_dim")))
+
+
 def _usable(vector: str):
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return finite & F.exists(vector, lambda x: x != 0)
@@ -254,35 +306,25 @@ def linked_vectors(embeddings: DataFrame, cosine: float = 0.9) -> DataFrame:
     )
     usable = F.coalesce(_usable("embedding"), F.lit(False)) & F.col("vec_id").isNotNull()
     vectors = given.where(usable).mapInArrow(_packed, "vec_id long, vector binary")
-    classes = vectors.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("number"))
-    classes = cut(classes, "vectors")
-    budget, n = 2 - 2 * cosine, classes.count()
-    axes = 1
-    while n > CELL_ROWS * 2**axes and axes < WIDTH:  # more rows, more cells
-        axes += 1
-    placed = classes.select("rep", "number", "vector").mapInArrow(_place(budget, axes), _PLACED)
-    size = placed.groupBy("dim", "block", "cell").agg(F.count(F.lit(1)).alias("size"))
-    cells = tiled(placed.join(size, ["dim", "block", "cell"]), "cell", "rep", F.col("size"), TILE)
-    keys = ["dim", "block", "cell", "tile_a", "tile_b"]
-    found = by_group(
-        cells.select(*keys, "tile_own", "home", "rep", "number", "vector"),
-        keys,
-        _links(budget, cosine),
-        "u long, v long, links long, forest boolean",
-    )
+    grouped = vectors.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("number"))
+    tiles = cut(grouped.mapInArrow(_in_tiles(TILE), _TILES), "vectors")
+    found = _pairs(tiles).mapInArrow(_links(2 - 2 * cosine, cosine), "u long, v long, links long, forest boolean")
     found = cut(found, "found")
     sums = found.where("not forest").groupBy("u").agg(F.sum("links").alias("links"))
     groups = components(found.where("forest").select("u", "v"))
+    # A digest stands for a vector from here on: it is an eighth of 64 components.
+    classes = tiles.mapInArrow(_from_tiles, "rep long, number long, digest binary")
     per_class = (
         classes.join(sums, classes["rep"] == sums["u"], "left")
         .join(groups, F.col("rep") == F.col("node"), "left")
         .select(
-            "vector",
+            "digest",
             (F.coalesce("links", F.lit(0)) + F.col("number") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component"),
         )
     )
-    linked = vectors.join(per_class, "vector").select("vec_id", "n_links", "component")
+    digests = vectors.select("vec_id", F.unhex(F.sha2("vector", 256)).alias("digest"))
+    linked = digests.join(per_class, "digest").select("vec_id", "n_links", "component")
     alone = given.where(~usable).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component")
     )
